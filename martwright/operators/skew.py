@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Below this size one task can hold all rows of a key, so nothing needs spreading.
+SMALL_ROWS = 5_000_000
 # The sketch keeps at most this many counters per column, so its size does not grow with the data.
 SKETCH_COUNTERS = 10_000
 TOP_KEYS = 100
@@ -39,12 +41,17 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys()
 
 
-def find_hot_keys(df: DataFrame, *columns: str, partitions: int | None = None) -> dict[str, HotKeys]:
+def find_hot_keys(
+    df: DataFrame, *columns: str, partitions: int | None = None, small_rows: int = SMALL_ROWS
+) -> dict[str, HotKeys]:
     """Heavy keys of several columns in one pass that reads only these columns.
 
     A key is heavy when its rows would fill at least two average shuffle partitions. It gets one
-    salt per partition's worth of rows.
+    salt per partition's worth of rows. Small tables, which a count of the file footers tells apart,
+    have no heavy keys.
     """
+    if df.count() < small_rows:
+        return dict.fromkeys(columns, NO_HOT_KEYS)
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sketches = [
@@ -62,7 +69,7 @@ def find_hot_keys(df: DataFrame, *columns: str, partitions: int | None = None) -
     for i, column in enumerate(columns):
         salts = {e["item"]: salts_for(e["count"]) for e in row[f"top_{i}"] or []}
         found[column] = HotKeys(
-            {key: n for key, n in salts.items() if n > 1},
+            {key: n for key, n in salts.items() if n > 1 and key is not None},
             salts_for(row["rows"] - row[f"known_{i}"]),
         )
     return found

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import rules
-from martwright.functions.columns import as_of_day, day_count, percent, ratio
+from martwright.functions.columns import as_of_day, day_count, percent, ratio, surrogate_key
 from martwright.operators.skew import NO_HOT_KEYS, HotKeys, skew_join
 from martwright.plans.skew_profile import EVEN, SkewProfile
 
@@ -97,7 +97,8 @@ def int_customer_orders(
 ) -> DataFrame:
     """One row per line whose product, order and customer are known, with the profit of the line.
 
-    Customers meet the orders first: that join moves orders, not lines.
+    Customers meet the orders first: that join moves orders, not lines. The key of a line follows
+    from its id, so it is hashed after the joins and not carried through them.
     """
     heads = skew_join(
         orders.select(
@@ -131,7 +132,6 @@ def int_customer_orders(
     lines = skew_join(
         order_items.select(
             "order_item_id",
-            "order_item_key",
             "order_id",
             "product_id",
             "quantity",
@@ -156,6 +156,7 @@ def int_customer_orders(
     profit = F.col("line_total") - F.col("unit_cost") * F.col("quantity")
     return skew_join(lines, heads, "order_id", hot=skew.orders, spread="order_item_id").withColumns(
         {
+            "order_item_key": surrogate_key(F.col("order_item_id")),
             "line_profit": profit,
             "line_profit_margin_pct": percent(profit, F.col("line_total")),
             "transaction_date": F.col("order_date"),

@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RESULT_SETTINGS, **SPEED_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
