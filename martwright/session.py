@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Results depend on these three: one clock, checked arithmetic, and month partitions replaced
-# one by one when a merge rewrites them.
+# Results depend on these two: one clock and checked arithmetic.
 RESULT_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Only speed depends on these. A skewed join is split even where that costs one more shuffle.
