@@ -25,6 +25,8 @@ class Run:
     as_of: dt.date | None = None
     lookback_days: int = 3
     full_refresh: bool = False
+    # Order and line ids are known to occur once: counts them without telling them apart first.
+    unique_ids: bool = False
     target: str = "dev"
     default_schema: str = "retail"
     audit_columns: tuple[str, str] = tables.AUDIT_COLUMNS
@@ -42,26 +44,16 @@ class Run:
 
 @dataclass(frozen=True)
 class Staged:
-    """Staging frames, and what is known about their keys."""
+    """Staging frames and their heavy keys."""
 
     customers: DataFrame
     orders: DataFrame
     products: DataFrame
     order_items: DataFrame
     skew: SkewProfile
-    unique_orders: bool
-    unique_items: bool
 
 
-def is_unique(df: DataFrame, column: str) -> bool:
-    return quality.duplicates(df, column).isEmpty()
-
-
-def stage(raw: RawTables, verify_keys: bool = True) -> Staged:
-    """Staging frames with a look at their keys.
-
-    Where order or line ids repeat, the marts count them exactly and more slowly.
-    """
+def stage(raw: RawTables) -> Staged:
     orders, order_items = staging.stg_orders(raw.orders), staging.stg_order_items(raw.order_items)
     return Staged(
         staging.stg_customers(raw.customers),
@@ -69,8 +61,6 @@ def stage(raw: RawTables, verify_keys: bool = True) -> Staged:
         staging.stg_products(raw.products),
         order_items,
         profile_skew(order_items, orders),
-        not verify_keys or is_unique(orders, "order_id"),
-        not verify_keys or is_unique(order_items, "order_item_id"),
     )
 
 
@@ -85,11 +75,11 @@ def changed_orders(target: DataFrame, staged: Staged, run: Run) -> DataFrame:
     )
     items = silver.items_of(staged.order_items, changed)
     return silver.int_orders_enriched(
-        changed, items, staged.customers, staged.skew.customers, staged.unique_items
+        changed, items, staged.customers, staged.skew.customers, run.unique_ids
     )
 
 
-def changed_days(target: DataFrame, enriched: DataFrame, staged: Staged, run: Run) -> DataFrame:
+def changed_days(target: DataFrame, enriched: DataFrame, run: Run) -> DataFrame:
     """Daily rows from the lookback before the target's last day on, each rebuilt in full."""
     newest = merge.latest(target, "date_day")
     recent = enriched
@@ -100,17 +90,17 @@ def changed_days(target: DataFrame, enriched: DataFrame, staged: Staged, run: Ru
             (F.col("order_month") >= period_start(first, "month"))
             & merge.days_to_rebuild(F.col("order_date_day"), newest, run.lookback_days)
         )
-    return gold.mart_sales_daily(recent, staged.unique_orders)
+    return gold.mart_sales_daily(recent, run.unique_ids)
 
 
-def build(spark: SparkSession, raw: RawTables, run: Run, verify_keys: bool = True) -> dict[str, DataFrame]:
+def build(spark: SparkSession, raw: RawTables, run: Run) -> dict[str, DataFrame]:
     """Build staging views, silver and gold tables; returns them by name.
 
     Incremental tables are merged when they exist, unless a full refresh is asked for.
     """
     for layer in ("silver", "gold"):
         tables.ensure_database(spark, tables.layer_schema(layer, run.default_schema, run.target))
-    staged = stage(raw, verify_keys)
+    staged = stage(raw)
     built = {
         f"stg_{name}": tables.create_view(run.audited(getattr(staged, name)), f"stg_{name}")
         for name in RawTables._fields
@@ -119,7 +109,7 @@ def build(spark: SparkSession, raw: RawTables, run: Run, verify_keys: bool = Tru
     name = run.table("silver", "int_orders_enriched")
     if run.full_refresh or not spark.catalog.tableExists(name):
         enriched = silver.int_orders_enriched(
-            staged.orders, staged.order_items, staged.customers, staged.skew.customers, staged.unique_items
+            staged.orders, staged.order_items, staged.customers, staged.skew.customers, run.unique_ids
         )
         tables.replace_table(run.audited(enriched), name, partition_by="order_month")
     else:
@@ -133,17 +123,17 @@ def build(spark: SparkSession, raw: RawTables, run: Run, verify_keys: bool = Tru
     built["int_customer_orders"] = tables.replace_table(
         run.audited(lines), run.table("silver", "int_customer_orders")
     )
-    dimension = silver.dim_customers(staged.customers, staged.orders, run.day, staged.unique_orders)
+    dimension = silver.dim_customers(staged.customers, staged.orders, run.day, run.unique_ids)
     built["dim_customers"] = tables.replace_table(
         run.audited(dimension), run.table("silver", "dim_customers")
     )
 
     name = run.table("gold", "mart_sales_daily")
     if run.full_refresh or not spark.catalog.tableExists(name):
-        daily = gold.mart_sales_daily(built["int_orders_enriched"], staged.unique_orders)
+        daily = gold.mart_sales_daily(built["int_orders_enriched"], run.unique_ids)
         tables.replace_table(run.audited(daily), name, cluster_by=["date_day"])
     else:
-        updates = changed_days(spark.table(name), built["int_orders_enriched"], staged, run)
+        updates = changed_days(spark.table(name), built["int_orders_enriched"], run)
         merge.merge_into_table(spark, name, run.audited(updates), "date_day")
     built["mart_sales_daily"] = spark.table(name)
 
@@ -151,7 +141,7 @@ def build(spark: SparkSession, raw: RawTables, run: Run, verify_keys: bool = Tru
         built["dim_customers"],
         built["int_customer_orders"],
         run.day,
-        unique_orders=staged.unique_orders,
+        unique_orders=run.unique_ids,
     )
     built["mart_customer_lifetime_value"] = tables.replace_table(
         run.audited(lifetime_value),
@@ -159,9 +149,7 @@ def build(spark: SparkSession, raw: RawTables, run: Run, verify_keys: bool = Tru
         cluster_by=["customer_segment"],
         spread=["customer_id"],
     )
-    performance = gold.mart_product_performance(
-        staged.products, built["int_customer_orders"], unique_orders=staged.unique_orders
-    )
+    performance = gold.mart_product_performance(staged.products, built["int_customer_orders"])
     built["mart_product_performance"] = tables.replace_table(
         run.audited(performance),
         run.table("gold", "mart_product_performance"),

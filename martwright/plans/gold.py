@@ -20,46 +20,46 @@ SCORE_TILES = 5
 # ---- daily sales ------------------------------------------------------------------------------
 
 
-def _daily_measures() -> tuple[dict, dict, dict]:
-    """Order counts, sums and averages of the daily mart: name -> which orders, or which value."""
-    done = F.col("is_completed")
-
-    def status(name: str) -> Column:
-        return F.col("order_status") == name
-
-    def paid_by(name: str) -> Column:
-        return done & (F.col("payment_method") == name)
+# Which orders each count of the daily mart takes in.
+DAILY_COUNTS = {
+    "total_orders": None,
+    "completed_orders": "is_completed",
+    "cancelled_orders": "is_cancelled",
+    "pending_orders": "order_status = 'pending'",
+    "processing_orders": "order_status = 'processing'",
+    "shipped_orders": "order_status = 'shipped'",
+    "credit_card_orders": "is_completed AND payment_method = 'credit_card'",
+    "paypal_orders": "is_completed AND payment_method = 'paypal'",
+    "debit_card_orders": "is_completed AND payment_method = 'debit_card'",
+    "standard_shipping_orders": "is_completed AND shipping_method = 'standard'",
+    "express_shipping_orders": "is_completed AND shipping_method = 'express'",
+    "orders_with_discount": "is_completed AND discount_amount > 0",
+}
+
+# Summed over completed orders, 0 on a day without any.
+DAILY_SUMS = {
+    "gross_revenue": "subtotal_amount",
+    "shipping_revenue": "shipping_cost",
+    "tax_collected": "tax_amount",
+    "total_discounts": "discount_amount",
+    "net_revenue": "grand_total",
+    "total_items_sold": "items_count",
+    "total_units_sold": "total_quantity",
+}
+
+
+def daily_aggregates(enriched: DataFrame, unique_orders: bool = False) -> DataFrame:
+    """Order KPIs per day.
 
-    def shipped_by(name: str) -> Column:
-        return done & (F.col("shipping_method") == name)
+    Fourteen distinct counts over two columns: each row is copied once per column, not once per
+    count. Sums combine before the shuffle and distinct ids are spread by their own value, so a day
+    with very many orders is no problem.
+    """
+    done = F.col("is_completed")
 
     def if_done(column: str) -> Column:
         return F.when(done, F.col(column))
 
-    counts = {
-        "total_orders": F.lit(True),
-        "completed_orders": done,
-        "cancelled_orders": F.col("is_cancelled"),
-        "pending_orders": status("pending"),
-        "processing_orders": status("processing"),
-        "shipped_orders": status("shipped"),
-        "credit_card_orders": paid_by("credit_card"),
-        "paypal_orders": paid_by("paypal"),
-        "debit_card_orders": paid_by("debit_card"),
-        "standard_shipping_orders": shipped_by("standard"),
-        "express_shipping_orders": shipped_by("express"),
-        "orders_with_discount": done & (F.col("discount_amount") > 0),
-    }
-    sums = {
-        "gross_revenue": "subtotal_amount",
-        "shipping_revenue": "shipping_cost",
-        "tax_collected": "tax_amount",
-        "total_discounts": "discount_amount",
-        "net_revenue": "grand_total",
-        "total_items_sold": "items_count",
-        "total_units_sold": "total_quantity",
-    }
-    sums = {name: F.when(done, F.col(column)).otherwise(0) for name, column in sums.items()}
     averages = {
         "avg_order_value": if_done("grand_total"),
         "avg_items_per_order": if_done("items_count"),
@@ -68,46 +68,16 @@ def _daily_measures() -> tuple[dict, dict, dict]:
         # Two exact digits, so the sum does not depend on the order of the rows.
         "avg_discount_percentage": if_done("discount_percentage").cast("decimal(20,2)"),
     }
-    return counts, sums, averages
-
-
-def daily_aggregates(enriched: DataFrame, unique_orders: bool = True) -> DataFrame:
-    """Order KPIs per day.
-
-    Orders are unique in the enriched table, so only customers need a distinct count. Summing per
-    day and customer first turns that into a plain count of the partial rows: no row is copied, and
-    both steps combine before they shuffle, so a day or customer with very many orders is no problem.
-    """
-    counts, sums, averages = _daily_measures()
-    by_day = F.col("order_date_day").alias("date_day")
-    done = F.col("is_completed")
-
-    if not unique_orders:
-        return enriched.groupBy(by_day).agg(
-            *[count_ids("order_id", which, unique=False).alias(n) for n, which in counts.items()],
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct(F.when(done, F.col("customer_id"))).alias("active_customers"),
-            *[F.sum(value).alias(n) for n, value in sums.items()],
-            *[mean(value).alias(n) for n, value in averages.items()],
-        )
-
-    per_customer = enriched.groupBy(by_day, "customer_id").agg(
-        *[count_ids("order_id", which).alias(n) for n, which in counts.items()],
-        F.bool_or(done).alias("_active"),
-        *[F.sum(value).alias(n) for n, value in sums.items()],
-        *[F.sum(value).alias(f"_sum_{n}") for n, value in averages.items()],
-        *[F.count(value).alias(f"_n_{n}") for n, value in averages.items()],
-    )
-    return per_customer.groupBy("date_day").agg(
-        *[F.sum(n).alias(n) for n in counts],
-        F.count("customer_id").alias("unique_customers"),
-        F.count(F.when(F.col("_active"), F.col("customer_id"))).alias("active_customers"),
-        *[F.sum(n).alias(n) for n in sums],
-        *[ratio(F.sum(f"_sum_{n}"), F.sum(f"_n_{n}")).alias(n) for n in averages],
+    return enriched.groupBy(F.col("order_date_day").alias("date_day")).agg(
+        *[count_ids("order_id", c, unique_orders).alias(n) for n, c in DAILY_COUNTS.items()],
+        count_ids("customer_id").alias("unique_customers"),
+        count_ids("customer_id", "is_completed").alias("active_customers"),
+        *[F.sum(if_done(c).otherwise(0)).alias(n) for n, c in DAILY_SUMS.items()],
+        *[mean(value).alias(n) for n, value in averages.items()],
     )
 
 
-def mart_sales_daily(enriched: DataFrame, unique_orders: bool = True) -> DataFrame:
+def mart_sales_daily(enriched: DataFrame, unique_orders: bool = False) -> DataFrame:
     """One row per day with its calendar periods, KPIs and ratios."""
     day = F.col("date_day")
     periods = [
@@ -152,7 +122,7 @@ def customer_transactions(customer_orders: DataFrame) -> DataFrame:
     return orders.withColumn("grand_total", total - F.col("discount_amount"))
 
 
-def customer_metrics(customer_orders: DataFrame, unique_orders: bool = True) -> DataFrame:
+def customer_metrics(customer_orders: DataFrame, unique_orders: bool = False) -> DataFrame:
     """Orders with known lines summed up per customer; money counts completed orders only."""
     done, total = F.col("is_completed"), F.col("grand_total")
 
@@ -164,9 +134,9 @@ def customer_metrics(customer_orders: DataFrame, unique_orders: bool = True) ->
         customer_transactions(customer_orders)
         .groupBy("customer_id")
         .agg(
-            count_ids("order_id", None, unique_orders).alias("total_orders"),
-            count_ids("order_id", done, unique_orders).alias("completed_orders"),
-            count_ids("order_id", F.col("is_cancelled"), unique_orders).alias("cancelled_orders"),
+            count_ids("order_id", unique=unique_orders).alias("total_orders"),
+            count_ids("order_id", "is_completed", unique_orders).alias("completed_orders"),
+            count_ids("order_id", "is_cancelled", unique_orders).alias("cancelled_orders"),
             earned("grand_total").alias("lifetime_revenue"),
             earned("subtotal_amount").alias("lifetime_gross_revenue"),
             earned("line_profit").alias("lifetime_profit"),
@@ -222,7 +192,7 @@ def mart_customer_lifetime_value(
     as_of=None,
     tiers: Sequence[tuple[str, object]] = rules.VALUE_TIERS,
     high_is_recent: bool = False,
-    unique_orders: bool = True,
+    unique_orders: bool = False,
 ) -> DataFrame:
     """One row per customer of the dimension: value, RFM scores, tier and segment.
 
@@ -262,58 +232,23 @@ def mart_customer_lifetime_value(
 # ---- product performance ----------------------------------------------------------------------
 
 
-def product_metrics(customer_orders: DataFrame, unique_orders: bool = True) -> DataFrame:
+def product_metrics(customer_orders: DataFrame) -> DataFrame:
     """Completed sales summed up per product.
 
-    An order has one day, so orders can be counted within (product, day) and days within product.
-    The three steps shrink the data and none copies rows for a distinct count.
+    Orders and days are told apart by their own value before they are counted, so the lines of a
+    best seller spread over many tasks.
     """
     sales = customer_orders.where(F.col("is_completed"))
-    spans = [F.min("order_date").alias("first_sale_date"), F.max("order_date").alias("last_sale_date")]
-    if not unique_orders:
-        return sales.groupBy("product_id").agg(
-            F.count_distinct("order_id").alias("orders_count"),
-            F.sum("quantity").alias("total_units_sold"),
-            F.sum("line_total").alias("total_revenue"),
-            mean(F.col("line_total")).alias("avg_line_revenue"),
-            F.sum("line_profit").alias("total_profit"),
-            mean(F.col("line_profit")).alias("avg_line_profit"),
-            *spans,
-            F.count_distinct(F.to_date("order_date")).alias("days_with_sales"),
-        )
-
-    sums = {
-        "total_units_sold": F.sum("quantity"),
-        "total_revenue": F.sum("line_total"),
-        "total_profit": F.sum("line_profit"),
-        "_revenue_lines": F.count("line_total"),
-        "_profit_lines": F.count("line_profit"),
-    }
-    again = [F.sum(name).alias(name) for name in sums]
-    respan = [F.min("first_sale_date").alias("first_sale_date"), F.max("last_sale_date").alias("last_sale_date")]
-    per_order = sales.groupBy("product_id", F.to_date("order_date").alias("_day"), "order_id").agg(
-        *[total.alias(name) for name, total in sums.items()], *spans
-    )
-    per_day = per_order.groupBy("product_id", "_day").agg(
-        F.count("order_id").alias("orders_count"), *again, *respan
-    )
-    per_product = per_day.groupBy("product_id").agg(
-        F.sum("orders_count").alias("orders_count"),
-        F.count("_day").alias("days_with_sales"),
-        *again,
-        *respan,
-    )
-    return per_product.select(
-        "product_id",
-        "orders_count",
-        "total_units_sold",
-        "total_revenue",
-        ratio(F.col("total_revenue"), F.col("_revenue_lines")).alias("avg_line_revenue"),
-        "total_profit",
-        ratio(F.col("total_profit"), F.col("_profit_lines")).alias("avg_line_profit"),
-        "first_sale_date",
-        "last_sale_date",
-        "days_with_sales",
+    return sales.groupBy("product_id").agg(
+        F.count_distinct("order_id").alias("orders_count"),
+        F.sum("quantity").alias("total_units_sold"),
+        F.sum("line_total").alias("total_revenue"),
+        mean(F.col("line_total")).alias("avg_line_revenue"),
+        F.sum("line_profit").alias("total_profit"),
+        mean(F.col("line_profit")).alias("avg_line_profit"),
+        F.min("order_date").alias("first_sale_date"),
+        F.max("order_date").alias("last_sale_date"),
+        F.count_distinct(F.to_date("order_date")).alias("days_with_sales"),
     )
 
 
@@ -336,10 +271,9 @@ def mart_product_performance(
     velocity_bands: Sequence[tuple[str, object]] = rules.VELOCITY_BANDS,
     reorder_units: int = rules.REORDER_UNITS,
     monitor_units: int = rules.MONITOR_UNITS,
-    unique_orders: bool = True,
 ) -> DataFrame:
     """One row per product: sales, ranks, score, pace of sales and stock health."""
-    metrics = materialize(product_metrics(customer_orders, unique_orders))
+    metrics = materialize(product_metrics(customer_orders))
     ranked = metrics.join(product_rankings(metrics).frame, "product_id")
     joined = products.drop("created_at", "updated_at").join(ranked, "product_id", "left")
     stock, units = F.col("stock_quantity"), F.col("total_units_sold")

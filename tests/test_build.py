@@ -131,9 +131,19 @@ def test_daily(staged):
     assert cancelled["avg_order_value"] is None and cancelled["credit_card_pct"] is None
 
 
-def test_daily_counts_agree_with_true_distinct(staged):
-    enriched = enriched_of(staged)
-    same(gold.mart_sales_daily(enriched), gold.mart_sales_daily(enriched, unique_orders=False))
+def test_counts_of_unique_ids_equal_distinct_counts(staged):
+    enriched, lines = enriched_of(staged), lines_of(staged)
+    same(gold.mart_sales_daily(enriched), gold.mart_sales_daily(enriched, unique_orders=True))
+    same(gold.customer_metrics(lines), gold.customer_metrics(lines, unique_orders=True))
+    items = staged.order_items
+    same(silver.order_line_totals(items), silver.order_line_totals(items, unique_items=True))
+
+
+def test_one_copy_of_the_rows_per_distinct_column(staged):
+    plan = gold.mart_sales_daily(enriched_of(staged))._jdf.queryExecution().executedPlan().toString()
+    (expand,) = [line for line in plan.splitlines() if "Expand [" in line and "gid" in line]
+    # One projection for the sums, one per distinct column, and the list of output columns.
+    assert expand.count("[order_date_day") == 4
 
 
 def test_lifetime_value(staged):
@@ -175,15 +185,14 @@ def test_product_performance(staged):
 def test_repeated_order_ids_are_counted_once(spark):
     """An order listed twice on a day is one order, as with a distinct count."""
     staged = b.stage(raw_tables(spark, [*ORDERS, ORDERS[0]]))
-    assert not staged.unique_orders and staged.unique_items
     day = dt.date(2024, 2, 1)
-    daily = as_dicts(gold.mart_sales_daily(enriched_of(staged), staged.unique_orders), "date_day")
+    daily = as_dicts(gold.mart_sales_daily(enriched_of(staged)), "date_day")
     assert (daily[day]["total_orders"], daily[day]["completed_orders"]) == (2, 2)
-    dimension = silver.dim_customers(staged.customers, staged.orders, DAY, staged.unique_orders)
+    dimension = silver.dim_customers(staged.customers, staged.orders, DAY)
     assert as_dicts(dimension, "customer_id")[1]["total_orders"] == 2
-    products = gold.product_metrics(lines_of(staged), staged.unique_orders)
+    products = gold.product_metrics(lines_of(staged))
     assert as_dicts(products, "product_id")[1]["orders_count"] == 1
-    customers = gold.customer_metrics(lines_of(staged), staged.unique_orders)
+    customers = gold.customer_metrics(lines_of(staged))
     assert as_dicts(customers, "customer_id")[1]["completed_orders"] == 2
 
 
