@@ -37,6 +37,11 @@ class HotKeys:
             count = count.when(key == F.lit(value), salts)
         return count.otherwise(1)
 
+    def salt(self, key: Column, spread: str) -> Column:
+        """Salt of a row. Only rows of heavy keys are hashed; never NULL, so nothing checks for it."""
+        count = self.salt_count(key)
+        return F.coalesce(F.when(count > 1, F.pmod(F.xxhash64(spread), count).cast("int")), F.lit(0))
+
 
 NO_HOT_KEYS = HotKeys()
 
@@ -81,7 +86,8 @@ def skew_join(
     key: str,
     how: str = "inner",
     hot: HotKeys = NO_HOT_KEYS,
-    spread: str | None = None,
+    *,
+    spread: str,
 ) -> DataFrame:
     """Equi-join on one key; the left side may be skewed. `how` is inner or left.
 
@@ -92,9 +98,7 @@ def skew_join(
         raise ValueError("only inner and left joins can repeat rows of the right side")
     if not hot:
         return left.join(right, key, how)
-    salted_left = left.withColumn(
-        "_salt", F.pmod(F.xxhash64(spread or key), hot.salt_count(F.col(key))).cast("int")
-    )
+    salted_left = left.withColumn("_salt", hot.salt(F.col(key), spread))
     salted_right = right.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), hot.salt_count(F.col(key)) - 1))
     )
