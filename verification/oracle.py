@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from verification.queries import (
     AS_OF,
+    CUTOFF,
     MONITOR_UNITS,
     REORDER_UNITS,
     TIERS,
@@ -381,6 +382,15 @@ FINAL = {
     # An incremental run must end where one full build ends.
     "merge_orders": "SELECT * FROM heads",
     "merge_sales_daily": "SELECT * FROM daily",
+    "order_status_history": f"""
+        SELECT order_id, order_status, updated_at, updated_at AS valid_from, NULL::TIMESTAMP AS valid_to FROM so
+        UNION ALL
+        SELECT order_id, 'pending', created_at, created_at, updated_at FROM so
+        WHERE order_date_day < DATE '{CUTOFF}' AND updated_at >= DATE '{CUTOFF}'""",
+    "compare_order_states": f"""
+        SELECT if(order_date_day >= DATE '{CUTOFF}', 'only_right',
+                  if(updated_at >= DATE '{CUTOFF}', 'different', 'identical')) AS status, count(*) AS keys
+        FROM so GROUP BY ALL""",
     "check_unique": " UNION ALL ".join(
         [
             _twice("stg_customers", "customer_id", "sc"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.functions.columns import cents_to_dollars
-from martwright.operators import merge, quality
+from martwright.operators import history, merge, quality
 from martwright.operators.skew import find_hot_keys, skew_join
 from martwright.plans import checks, gold, reports, silver, staging
 from martwright.plans.skew_profile import SkewProfile
@@ -136,7 +136,8 @@ class Retail:
 
 
 def join_left_orders_items(r: Retail) -> DataFrame:
-    totals = silver.order_line_totals(r.order_items, r.unique_items).select("order_id", "items_count", "subtotal_amount")
+    totals = silver.order_line_totals(r.order_items, r.unique_items)
+    totals = totals.select("order_id", "items_count", "subtotal_amount")
     names = r.customers.select("customer_id", "full_name")
     heads = r.orders.select("order_id", "customer_id", "order_status").join(totals, "order_id", "left")
     return skew_join(heads, names, "customer_id", "left", r.hot_customers, spread="order_id")
@@ -149,8 +150,8 @@ def join_inner_lines(r: Retail) -> DataFrame:
 
 
 def join_left_customer_orders(r: Retail) -> DataFrame:
-    history = silver.customer_order_history(r.orders)
-    return r.customers.select("customer_id", "full_name").join(history, "customer_id", "left")
+    orders = silver.customer_order_history(r.orders)
+    return r.customers.select("customer_id", "full_name").join(orders, "customer_id", "left")
 
 
 def rfm_ntile(r: Retail) -> DataFrame:
@@ -217,7 +218,8 @@ def merge_sales_daily(r: Retail) -> DataFrame:
     cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
     stale = (F.col("updated_at") >= cutoff) & (F.col("order_date_day") >= first_late_day)
     seen = _as_first_seen(r.orders, stale)
-    target = gold.mart_sales_daily(silver.orders_with_totals(seen, r.order_items, r.unique_items))
+    totals = silver.orders_with_totals(seen, r.order_items, r.unique_items)
+    target = gold.mart_sales_daily(totals)
     newest = merge.latest(seen, "order_date_day")
     changed = r.order_totals.where(
         merge.days_to_rebuild(F.col("order_date_day"), newest, LOOKBACK_DAYS)
@@ -225,6 +227,23 @@ def merge_sales_daily(r: Retail) -> DataFrame:
     return merge.upserted(target, gold.mart_sales_daily(changed), "date_day")
 
 
+def _status_versions(r: Retail) -> tuple[DataFrame, DataFrame]:
+    """Orders as seen before the cutoff, and as they are now."""
+    columns = ("order_id", "order_status", "updated_at")
+    stale = F.col("updated_at") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    return _as_first_seen(r.orders, stale).select(*columns), r.orders.select(*columns)
+
+
+def order_status_history(r: Retail) -> DataFrame:
+    before, now = _status_versions(r)
+    return history.extend_history(history.start_history(before), now, "order_id")
+
+
+def compare_order_states(r: Retail) -> DataFrame:
+    before, now = _status_versions(r)
+    return history.compare_tables(before, now, "order_id")
+
+
 # ---- checks -----------------------------------------------------------------------------------
 
 
@@ -323,6 +342,8 @@ MODELS: dict[str, Callable[[Retail], DataFrame]] = {
     "wow_growth": wow_growth,
     "merge_orders": merge_orders,
     "merge_sales_daily": merge_sales_daily,
+    "order_status_history": order_status_history,
+    "compare_order_states": compare_order_states,
     "check_unique": check_unique,
     "check_not_null": check_not_null,
     "check_relationships": check_relationships,
