@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 # Below this size one task can hold all rows of a key, so nothing needs spreading.
 SMALL_ROWS = 5_000_000
-# The sketch keeps at most this many counters per column, so its size does not grow with the data.
-SKETCH_COUNTERS = 10_000
+# A sketch keeps at most this many counters per column, so its size does not grow with the data.
+SKETCH_COUNTERS = 4_000
 TOP_KEYS = 100
+# Sketches of the scan tasks are merged in this many groups first, and then once more.
+MERGE_GROUPS = 256
 
 
 @dataclass(frozen=True)
@@ -55,23 +57,38 @@ def find_hot_keys(
     salt per partition's worth of rows. Small tables, which a count of the file footers tells apart,
     have no heavy keys.
     """
-    if df.count() < small_rows:
+    if df.count() < max(small_rows, 1):
         return dict.fromkeys(columns, NO_HOT_KEYS)
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sketches = [
-        F.expr(f"approx_top_k(`{c}`, {TOP_KEYS}, {SKETCH_COUNTERS})").alias(f"top_{i}")
-        for i, c in enumerate(columns)
-    ]
-    known = [F.count(c).alias(f"known_{i}") for i, c in enumerate(columns)]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *known, *sketches).first()
+    numbered = list(enumerate(columns))
+
+    def sketch(function: str, argument: str) -> Column:
+        return F.expr(f"{function}({argument}, {SKETCH_COUNTERS})")
+
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    partial = df.groupBy(group.alias("_group")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(c).alias(f"known_{i}") for i, c in numbered],
+        *[sketch("approx_top_k_accumulate", f"`{c}`").alias(f"top_{i}") for i, c in numbered],
+    )
+    merged = partial.agg(
+        F.sum("rows").alias("rows"),
+        *[F.sum(f"known_{i}").alias(f"known_{i}") for i, _ in numbered],
+        *[sketch("approx_top_k_combine", f"top_{i}").alias(f"top_{i}") for i, _ in numbered],
+    )
+    row = merged.select(
+        "rows",
+        *[f"known_{i}" for i, _ in numbered],
+        *[F.expr(f"approx_top_k_estimate(top_{i}, {TOP_KEYS})").alias(f"top_{i}") for i, _ in numbered],
+    ).first()
 
     def salts_for(rows: int) -> int:
         share = rows / row["rows"] if row["rows"] else 0.0
         return math.ceil(share * partitions) if share * partitions >= 2 else 1
 
     found = {}
-    for i, column in enumerate(columns):
+    for i, column in numbered:
         salts = {e["item"]: salts_for(e["count"]) for e in row[f"top_{i}"] or []}
         found[column] = HotKeys(
             {key: n for key, n in salts.items() if n > 1 and key is not None},

@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martwright.operators.tables import ensure_database, replace_table
 from martwright.schemas import RAW_SCHEMAS
 
 
@@ -27,6 +28,14 @@ def read_csv(spark: SparkSession, folder: str) -> RawTables:
     return RawTables(*[one(name) for name in RawTables._fields])
 
 
+def load_csv(spark: SparkSession, folder: str, database: str) -> RawTables:
+    """Read the CSV files and store them as the tables `raw_<name>`, in full each time."""
+    ensure_database(spark, database)
+    for name, df in read_csv(spark, folder)._asdict().items():
+        replace_table(df, f"{database}.raw_{name}")
+    return read_tables(spark, database)
+
+
 def read_tables(spark: SparkSession, database: str) -> RawTables:
     """Read the tables `raw_<name>` of a database."""
     return RawTables(*[spark.table(f"{database}.raw_{name}") for name in RawTables._fields])

@@ -51,8 +51,9 @@ def test_value_of_wrong_type_fails(spark, folder):
         raw.read_csv(spark, str(folder)).order_items.collect()
 
 
-def test_read_tables(spark, folder):
-    spark.sql("CREATE DATABASE IF NOT EXISTS raw_db")
-    for name, df in raw.read_csv(spark, str(folder))._asdict().items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"raw_db.raw_{name}")
-    assert raw.read_tables(spark, "raw_db").order_items.count() == 1
+def test_load_replaces_the_tables(spark, folder):
+    for _ in range(2):
+        stored = raw.load_csv(spark, str(folder), "raw_db")
+        assert [df.count() for df in stored] == [1, 1, 1, 1]
+    assert rows(spark.table("raw_db.raw_customers"), "postal_code") == [("01970",)]
+    assert raw.read_tables(spark, "raw_db").orders.columns == stored.orders.columns

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martwright.functions import rules
 from martwright.functions.columns import cents_to_dollars
 from martwright.operators import history, merge, quality
 from martwright.operators.skew import find_hot_keys, skew_join
@@ -289,12 +290,12 @@ def check_relationships(r: Retail) -> DataFrame:
 def check_accepted_values(r: Retail) -> DataFrame:
     listed = {
         "stg_orders": [
-            quality.AcceptedValues("order_status", checks.rules.ORDER_STATUSES),
-            quality.AcceptedValues("order_status", checks.rules.COMPLETED_STATUSES),
+            quality.AcceptedValues("order_status", rules.ORDER_STATUSES),
+            quality.AcceptedValues("order_status", rules.COMPLETED_STATUSES),
             quality.AcceptedValues("shipping_method", ("standard",)),
         ],
         "dim_customers": [
-            quality.AcceptedValues("customer_segment", checks.rules.CUSTOMER_SEGMENTS),
+            quality.AcceptedValues("customer_segment", rules.CUSTOMER_SEGMENTS),
             quality.AcceptedValues("purchase_frequency_segment", ("Never Purchased",)),
         ],
     }
