@@ -55,15 +55,6 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def ids_are_unique(df: DataFrame, column: str) -> bool:
-    """Whether no value occurs twice, told by 64-bit hashes, which are narrower than long ids.
-
-    Two values with one hash make the answer no, so a yes is always right.
-    """
-    hashed = df.where(F.col(column).isNotNull()).select(F.xxhash64(column).alias("id_hash"))
-    return duplicates(hashed, "id_hash").isEmpty()
-
-
 def nulls(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 

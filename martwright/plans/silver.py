@@ -23,15 +23,24 @@ def count_ids(identity: str, condition: str | None = None, unique: bool = False)
 
 
 def order_line_totals(order_items: DataFrame, unique_items: bool = False) -> DataFrame:
-    """Lines summed up per order."""
-    return order_items.groupBy("order_id").agg(
-        count_ids("order_item_id", unique=unique_items).alias("items_count"),
+    """Lines summed up per order; lines that name no order are left out.
+
+    Two distinct counts in one aggregate would copy every line three times. One aggregate for each
+    instead reads narrow columns twice, and the two meet on the order id without another shuffle.
+    """
+    lines = order_items.where(F.col("order_id").isNotNull())
+    items_count = count_ids("order_item_id", unique=unique_items).alias("items_count")
+    totals = [
         F.count_distinct("product_id").alias("unique_products_count"),
         F.sum("quantity").alias("total_quantity"),
         F.sum("line_total").alias("subtotal_amount"),
         F.min("created_at").alias("first_item_at"),
         F.max("created_at").alias("last_item_at"),
-    )
+    ]
+    if unique_items:
+        return lines.groupBy("order_id").agg(items_count, *totals)
+    counted = lines.groupBy("order_id").agg(items_count)
+    return counted.join(lines.groupBy("order_id").agg(*totals), "order_id")
 
 
 def items_of(order_items: DataFrame, orders: DataFrame) -> DataFrame:

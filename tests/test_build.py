@@ -267,3 +267,10 @@ def test_incremental_build_equals_full_build(spark):
 
     again = b.build(spark, everything, run(default_schema="inc", run_id="r3", full_refresh=True))
     assert {r[0] for r in again["int_orders_enriched"].select("invocation_id").collect()} == {"r3"}
+
+
+def test_order_totals_meet_without_another_shuffle(staged):
+    plan = silver.order_line_totals(staged.order_items)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    # Each distinct count shuffles by order and value, then by order; the join adds none.
+    assert plan.count("Exchange hashpartitioning") == 4

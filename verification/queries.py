@@ -93,14 +93,10 @@ class Retail:
         hot_parts = self.line_skew["l_partkey"]
         return staging.stg_order_items(star.raw_order_items(self.spark, self.folder, hot_parts))
 
-    @cached_property
-    def unique_items(self) -> bool:
-        return quality.ids_are_unique(self.order_items, "order_item_id")
-
     @cached_property
     def enriched(self) -> DataFrame:
         return silver.int_orders_enriched(
-            self.orders, self.order_items, self.customers, self.hot_customers, self.unique_items
+            self.orders, self.order_items, self.customers, self.hot_customers
         )
 
     @cached_property
@@ -116,7 +112,7 @@ class Retail:
     @cached_property
     def order_totals(self) -> DataFrame:
         """Enriched orders without customer attributes, which no daily figure uses."""
-        return silver.orders_with_totals(self.orders, self.order_items, self.unique_items)
+        return silver.orders_with_totals(self.orders, self.order_items)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -137,7 +133,7 @@ class Retail:
 
 
 def join_left_orders_items(r: Retail) -> DataFrame:
-    totals = silver.order_line_totals(r.order_items, r.unique_items)
+    totals = silver.order_line_totals(r.order_items)
     totals = totals.select("order_id", "items_count", "subtotal_amount")
     names = r.customers.select("customer_id", "full_name")
     heads = r.orders.select("order_id", "customer_id", "order_status").join(totals, "order_id", "left")
@@ -201,15 +197,13 @@ def merge_orders(r: Retail) -> DataFrame:
     """Build up to the cutoff, then merge what changed since; the result is the full build."""
     cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
     seen = _as_first_seen(r.orders, F.col("updated_at") >= cutoff)
-    target = silver.orders_with_totals(seen, r.order_items, r.unique_items)
+    target = silver.orders_with_totals(seen, r.order_items)
     newest = merge.latest(seen, "updated_at")
     run_at = dt.datetime.combine(AS_OF, dt.time())
     changed = r.orders.where(
         merge.changed_since(F.col("updated_at"), newest, run_at, LOOKBACK_DAYS)
     )
-    updates = silver.orders_with_totals(
-        changed, silver.items_of(r.order_items, changed), r.unique_items
-    )
+    updates = silver.orders_with_totals(changed, silver.items_of(r.order_items, changed))
     return merge.upserted(target, updates, "order_id")
 
 
@@ -219,7 +213,7 @@ def merge_sales_daily(r: Retail) -> DataFrame:
     cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
     stale = (F.col("updated_at") >= cutoff) & (F.col("order_date_day") >= first_late_day)
     seen = _as_first_seen(r.orders, stale)
-    totals = silver.orders_with_totals(seen, r.order_items, r.unique_items)
+    totals = silver.orders_with_totals(seen, r.order_items)
     target = gold.mart_sales_daily(totals)
     newest = merge.latest(seen, "order_date_day")
     changed = r.order_totals.where(
@@ -332,7 +326,7 @@ MODELS: dict[str, Callable[[Retail], DataFrame]] = {
     "join_left_orders_items": join_left_orders_items,
     "join_inner_lines": join_inner_lines,
     "join_left_customer_orders": join_left_customer_orders,
-    "agg_order_items": lambda r: silver.order_line_totals(r.order_items, r.unique_items),
+    "agg_order_items": lambda r: silver.order_line_totals(r.order_items),
     "agg_customer_orders": lambda r: silver.customer_order_history(r.orders),
     "agg_customer_metrics": lambda r: gold.customer_metrics(r.customer_orders),
     "agg_product_metrics": lambda r: gold.product_metrics(r.customer_orders),
