@@ -29,7 +29,8 @@ def changed_since(
     """
     recent = run_at - dt.timedelta(days=lookback_days)
     bound = recent if target_latest is None else min(recent, target_latest)
-    return updated_at > F.lit(bound).cast("timestamp_ntz")
+    # As text: a datetime literal would be read in the time zone of this process.
+    return updated_at > F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def days_to_rebuild(day: Column, target_latest: dt.date, lookback_days: int = 3) -> Column:
@@ -92,16 +93,15 @@ def merge_into_table(
         if not concerned:
             return
         column = F.col(partition_column)
-        in_scope = column.isin([value for value in concerned if value is not None])
+        in_scope = column.cast("string").isin([value for value in concerned if value is not None])
         if None in concerned:
             in_scope = in_scope | column.isNull()
         staged = upserted(target.where(in_scope), updates, key)
         staged.write.mode("overwrite").parquet(f"{root}/staged")
         filled = _distinct_values(spark.read.parquet(f"{root}/staged"), partition_column)
-        spark.createDataFrame(
-            [(value,) for value in concerned - filled],
-            target.select(partition_column).schema,
-        ).write.mode("overwrite").parquet(f"{root}/emptied")
+        spark.createDataFrame([(value,) for value in concerned - filled], "value string").write.mode(
+            "overwrite"
+        ).parquet(f"{root}/emptied")
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{root}')")
     finish_pending_merge(spark, table, partition_column)
 
@@ -131,8 +131,8 @@ def finish_pending_merge(spark: SparkSession, table: str, partition_column: str
 
 
 def _distinct_values(df: DataFrame, column: str) -> set:
-    """Values of a partition column: one row per directory, so few."""
-    return {row[0] for row in df.select(column).distinct().collect()}
+    """Values of a partition column, as text: one row per directory, so few."""
+    return {row[0] for row in df.select(F.col(column).cast("string")).distinct().collect()}
 
 
 def _partitions_concerned(target: DataFrame, updates: DataFrame, key: str, column: str) -> set:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WARN, ERROR = "warn", "error"
@@ -158,6 +158,6 @@ def enforce(result: DataFrame) -> DataFrame:
     return result
 
 
-def store_failures(spark: SparkSession, failing: DataFrame, table: str) -> None:
+def store_failures(failing: DataFrame, table: str) -> None:
     """Keep the failing rows of a check in a table of their own."""
     failing.write.mode("overwrite").format("parquet").saveAsTable(table)

@@ -23,7 +23,8 @@ def with_audit(
 ) -> DataFrame:
     """Add when and by which run the rows were loaded; consumers may want other column names."""
     loaded_at, invocation_id = names
-    return df.withColumns({loaded_at: F.lit(run_at), invocation_id: F.lit(run_id)})
+    moment = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
+    return df.withColumns({loaded_at: moment, invocation_id: F.lit(run_id)})
 
 
 def clustered(df: DataFrame, columns: Sequence[str], spread: Sequence[str] = ()) -> DataFrame:

@@ -18,9 +18,11 @@ from martwright.sources.raw import RawTables
 
 @dataclass(frozen=True)
 class Run:
-    """Everything a build does not read from the data."""
+    """Everything a build does not read from the data; the run time is on the orders' clock."""
 
-    run_at: dt.datetime = field(default_factory=dt.datetime.now)
+    run_at: dt.datetime = field(
+        default_factory=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    )
     run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     as_of: dt.date | None = None
     lookback_days: int = 3
@@ -159,10 +161,9 @@ def build(spark: SparkSession, raw: RawTables, run: Run) -> dict[str, DataFrame]
     return built
 
 
-def check_build(built: dict[str, DataFrame], severity: str = quality.WARN) -> DataFrame:
-    """Report of all declared checks and the two business rules, one line each."""
-    report = quality.report(checks.DECLARED_CHECKS, built, severity)
-    rules = {
+def _rule_violations(built: dict[str, DataFrame]) -> dict[tuple[str, str, str], DataFrame]:
+    """Failing rows of the two business rules, by table, column and name."""
+    return {
         ("int_orders_enriched", "grand_total", "positive_order_totals"): checks.positive_order_totals(
             built["int_orders_enriched"]
         ),
@@ -170,7 +171,12 @@ def check_build(built: dict[str, DataFrame], severity: str = quality.WARN) -> Da
             checks.profit_within_revenue(built["mart_product_performance"])
         ),
     }
-    for (table, column, check), failing in rules.items():
+
+
+def check_build(built: dict[str, DataFrame], severity: str = quality.WARN) -> DataFrame:
+    """Report of all declared checks and the two business rules, one line each."""
+    report = quality.report(checks.DECLARED_CHECKS, built, severity)
+    for (table, column, check), failing in _rule_violations(built).items():
         line = failing.agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(table).alias("table"),
             F.lit(column).alias("column"),
@@ -180,3 +186,21 @@ def check_build(built: dict[str, DataFrame], severity: str = quality.WARN) -> Da
         )
         report = report.unionByName(line)
     return report
+
+
+def store_failing_rows(
+    spark: SparkSession, built: dict[str, DataFrame], report: DataFrame, database: str
+) -> list[str]:
+    """Keep the rows behind every failed check as `<table>_<column>_<check>`; returns the tables."""
+    failing = {
+        (table, check.column, check.kind): quality.failing_rows(check, table, built)
+        for table, listed in checks.DECLARED_CHECKS.items()
+        for check in listed
+    } | _rule_violations(built)
+    tables.ensure_database(spark, database)
+    stored = []
+    for line in report.where("failures > 0").collect():
+        key = (line["table"], line["column"], line["check"])
+        stored.append(f"{database}.{'_'.join(key)}")
+        quality.store_failures(failing[key], stored[-1])
+    return stored

@@ -235,7 +235,8 @@ def test_full_build_and_checks(spark):
         assert [r[0] for r in df.select("seen_by").distinct().collect()] == ["r1"]
     assert spark.table("full_gold.mart_sales_daily").count() == 4
     listed = sum(len(found) for found in DECLARED_CHECKS.values())
-    report = b.check_build(built).collect()
+    checked = b.check_build(built)
+    report = checked.collect()
     assert (listed, len(report)) == (33, 35)
     failed = {(r["table"], r["column"], r["check"], r["failures"]) for r in report if r["failures"]}
     assert failed == {
@@ -245,6 +246,9 @@ def test_full_build_and_checks(spark):
         # The customer without orders has no value.
         ("mart_customer_lifetime_value", "customer_lifetime_value", "not_null", 1),
     }
+    stored = b.store_failing_rows(spark, built, checked, "full_failed")
+    assert len(stored) == 3
+    assert rows(spark.table("full_failed.int_orders_enriched_customer_id_relationships")) == [(9, 1)]
 
 
 def test_incremental_build_equals_full_build(spark):

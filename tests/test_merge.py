@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from conftest import rows
@@ -121,6 +122,24 @@ def test_changed_since_takes_the_earlier_bound(spark):
     assert sorted(found(None)) == [7, 8, 9, 10]
 
 
+@pytest.fixture
+def elsewhere(monkeypatch):
+    """This process runs hours away from the session's time zone."""
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    yield
+    monkeypatch.undo()
+    time.tzset()
+
+
+def test_time_zone_of_the_process_plays_no_part(spark, target, elsewhere):
+    merge.merge_into_table(spark, target, frame(spark, [(2, "B", 2), (4, "D", 2)]), "id", "m")
+    assert content(spark, target) == [(1, "a", 1), (2, "B", 2), (3, "c", 2), (4, "D", 2)]
+    moments = spark.createDataFrame([(dt.datetime(2024, 1, 6, h),) for h in (0, 1, 6)], "at timestamp_ntz")
+    newer = moments.where(merge.changed_since(F.col("at"), None, dt.datetime(2024, 1, 9)))
+    assert newer.count() == 2
+
+
 def test_filter_literal_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "orders")
     frame(spark, [(1, "a", 1)]).write.parquet(path)

@@ -54,7 +54,7 @@ def test_warnings_pass_and_errors_raise(frames):
 
 
 def test_store_failures(spark, frames):
-    q.store_failures(spark, q.duplicates(frames["child"], "id"), "failed_child_id")
+    q.store_failures(q.duplicates(frames["child"], "id"), "failed_child_id")
     assert rows(spark.table("failed_child_id")) == [(1, 2)]
 
 
