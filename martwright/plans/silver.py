@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions import rules
 from martwright.functions.columns import as_of_day, day_count, percent, ratio, surrogate_key
-from martwright.operators.skew import NO_HOT_KEYS, HotKeys, skew_join
+from martwright.operators.skew import NO_HOT_KEYS, HotKeys, fits_broadcast, skew_join
 from martwright.plans.skew_profile import EVEN, SkewProfile
 
 
@@ -107,8 +107,10 @@ def int_customer_orders(
 ) -> DataFrame:
     """One row per line whose product, order and customer are known, with the profit of the line.
 
-    Customers meet the orders first: that join moves orders, not lines. The key of a line follows
-    from its id, so it is hashed after the joins and not carried through them.
+    Customers meet the orders first: that join moves orders, not lines. A catalogue measured to be
+    small is broadcast to the lines where they are, last, so its texts are never shuffled; a large
+    one is joined first, because its columns are narrower than those of order and customer. The
+    key of a line follows from its id, so it is hashed after the joins and not carried through them.
     """
     heads = skew_join(
         orders.select(
@@ -139,32 +141,33 @@ def int_customer_orders(
         hot=skew.customers,
         spread="order_id",
     )
-    lines = skew_join(
-        order_items.select(
-            "order_item_id",
-            "order_id",
-            "product_id",
-            "quantity",
-            "unit_price",
-            "line_total",
-            "is_line_total_valid",
-            F.col("created_at").alias("line_item_created_at"),
-        ),
-        products.select(
-            "product_id",
-            "product_key",
-            "product_name",
-            "category",
-            "subcategory",
-            "brand",
-            "unit_cost",
-        ),
+    lines = order_items.select(
+        "order_item_id",
+        "order_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        "line_total",
+        "is_line_total_valid",
+        F.col("created_at").alias("line_item_created_at"),
+    )
+    catalogue = products.select(
         "product_id",
-        hot=skew.products,
-        spread="order_item_id",
+        "product_key",
+        "product_name",
+        "category",
+        "subcategory",
+        "brand",
+        "unit_cost",
     )
+    if fits_broadcast(catalogue):
+        placed = skew_join(lines, heads, "order_id", hot=skew.orders, spread="order_item_id")
+        joined = placed.join(F.broadcast(catalogue), "product_id")
+    else:
+        priced = skew_join(lines, catalogue, "product_id", hot=skew.products, spread="order_item_id")
+        joined = skew_join(priced, heads, "order_id", hot=skew.orders, spread="order_item_id")
     profit = F.col("line_total") - F.col("unit_cost") * F.col("quantity")
-    return skew_join(lines, heads, "order_id", hot=skew.orders, spread="order_item_id").withColumns(
+    return joined.withColumns(
         {
             "order_item_key": surrogate_key(F.col("order_item_id")),
             "line_profit": profit,

@@ -146,6 +146,13 @@ def test_one_copy_of_the_rows_per_distinct_column(staged):
     assert expand.count("[order_date_day") == 4
 
 
+def test_lines_are_the_same_with_a_large_catalogue(staged, monkeypatch):
+    small = lines_of(staged)
+    assert "BroadcastHashJoin [product_id" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(silver, "fits_broadcast", lambda df: False)
+    same(small, lines_of(staged))
+
+
 def test_lifetime_value(staged):
     dimension = silver.dim_customers(staged.customers, staged.orders, DAY)
     found = as_dicts(

@@ -1,7 +1,7 @@
 from conftest import same
 from pyspark.sql import functions as F
 
-from martwright.operators.skew import HotKeys, find_hot_keys, skew_join
+from martwright.operators.skew import HotKeys, find_hot_keys, fits_broadcast, size_in_bytes, skew_join
 
 
 def skewed(spark):
@@ -43,3 +43,10 @@ def test_string_keys(spark):
     hot = find_hot_keys(df, "k", partitions=30, small_rows=0)["k"]
     right = spark.createDataFrame([("7", 1), ("2", 2)], "k string, v int")
     same(skew_join(df, right, "k", "left", hot, spread="id"), df.join(right, "k", "left"))
+
+
+def test_broadcast_looks_at_measured_bytes(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 50).alias("t"), F.lit(None).cast("string").alias("n"))
+    assert size_in_bytes(df) == 100 * (3 * 16 + 50)
+    assert size_in_bytes(df.limit(0)) == 0
+    assert fits_broadcast(df, 9_800) and not fits_broadcast(df, 9_799)
