@@ -13,7 +13,8 @@ VALID_FROM, VALID_TO = "valid_from", "valid_to"
 def start_history(source: DataFrame, updated_at: str = "updated_at") -> DataFrame:
     """First version of every row, open-ended."""
     changed = F.col(updated_at)
-    return source.withColumns({VALID_FROM: changed, VALID_TO: F.lit(None).cast(source.schema[updated_at].dataType)})
+    never = F.lit(None).cast(source.schema[updated_at].dataType)
+    return source.withColumns({VALID_FROM: changed, VALID_TO: never})
 
 
 def extend_history(
