@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from martwright.llm.common import table
 
 
+def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.fingerprints import edited_fingerprints
+
+    return edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from martwright.llm.token_counts import token_counts
 
@@ -30,9 +36,17 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_sequences(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.near_dedup import Plan, near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"), Plan(words=2))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_document_fingerprints": op2_document_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
