@@ -85,7 +85,7 @@ def pieces(
             )
 
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType)])
-    schema = schema.add("piece", "int").add("start", "long").add("length", "long").add("ids_crc32", "long")
+    schema = schema.add("piece", "integer").add("start", "long").add("length", "long").add("ids_crc32", "long")
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return read.mapInArrow(cut, schema)
 
