@@ -36,6 +36,12 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_sequences(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.pii import personal_data
+
+    return personal_data(table(spark, folder, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from martwright.llm.near_dedup import Plan, near_duplicates
 
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_pii": op9_pii,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
