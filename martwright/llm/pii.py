@@ -1,7 +1,6 @@
 """Personal data: base patterns with exact places, and identifiers found by the contexts these stand in.
 
-Everything here is DataFrame expressions. Matches are marked by a regular expression, the text is cut at
-the marks, and places are running sums of the lengths of the cuts.
+Everything here is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.common import stored, whole_text
+from martwright.llm.spans import matches
 
 # In the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -30,7 +30,6 @@ _TOKEN = "[A-Za-z0-9@._%+#/-]"
 CANDIDATE = rf"(?<!{_TOKEN})[A-Za-z._%+#/-]*+[0-9@]{_TOKEN}*+"
 # Needed for a match: a cheap look saves the marking of most texts.
 _HINT = {"email": "@", "phone": "+"}
-OPEN, CLOSE = "\u0001", "\u0002"
 
 
 @dataclass(frozen=True)
@@ -47,6 +46,13 @@ class Bootstrap:
     digits: int = 4
 
 
+def _words(found: DataFrame) -> DataFrame:
+    """Adds left, the last two words before a match, and right, the first one behind it, lower-cased."""
+    left = F.regexp_replace(F.regexp_extract("before", r"(\S*\s*+\S*)\s++\z", 1), r"\s++", " ")
+    right = F.regexp_extract("after", r"^\s++(\S++)", 1)
+    return found.withColumns({"left": F.lower(F.ltrim(left)), "right": F.lower(right)})
+
+
 def _valid(kind: Column, match: Column) -> Column:
     digits = F.regexp_replace(match, "[^0-9]", "")
     n = F.length(digits)
@@ -68,55 +74,12 @@ def _valid(kind: Column, match: Column) -> Column:
     )
 
 
-def _cuts(kind: str, parts: Column) -> Column:
-    """Of each part of a text that begins with a match: place, length, match, and its neighbouring words."""
-    rest = lambda part: F.substring_index(part, CLOSE, -1)
-
-    def cut(part: Column, i: Column) -> Column:
-        before = F.when(i > 0, rest(F.get(parts, i - 1)))
-        words = F.lower(F.regexp_extract(before, r"(\S*\s*+\S*)\s++\z", 1))
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            i.alias("i"),
-            (F.length(part) - F.when(i > 0, 1).otherwise(0)).cast("long").alias("size"),
-            F.when(i > 0, F.substring_index(part, CLOSE, 1)).alias("match"),
-            words.alias("left"),
-            F.when(i > 0, F.lower(F.regexp_extract(rest(part), r"^\s++(\S++)", 1))).alias("right"),
-        )
-
-    return F.when(F.size(parts) > 1, F.transform(parts, cut))
-
-
-def matches(docs: DataFrame, patterns: dict[str, str], id_column: str, text_column: str) -> DataFrame:
-    """id, h, kind, start, end, match, left, right of every match; h tells texts of one id apart."""
-    text = F.translate(whole_text(text_column), OPEN + CLOSE, "\u0003\u0003")
-    read = docs.select(
-        F.col(id_column).alias("id"), F.xxhash64(whole_text(text_column)).alias("h"), text.alias("text")
-    ).where(F.col("text").rlike("[0-9@]"))
-    none = F.array().cast("array<struct<kind:string,i:int,size:bigint,match:string,left:string,right:string>>")
-    # The row number only holds the cuts of one row together, within this one shuffle.
-    parts = {"row": F.monotonically_increasing_id()}
-    for kind, pattern in patterns.items():
-        cut = F.split(F.regexp_replace("text", pattern, f"{OPEN}$0{CLOSE}"), OPEN, -1)
-        parts[kind] = F.when(F.contains("text", F.lit(_HINT[kind])), cut) if kind in _HINT else cut
-    lists = [F.coalesce(_cuts(kind, F.col(kind)), none) for kind in patterns]
-    cuts = read.withColumns(parts).select("id", "h", "row", F.explode(F.concat(*lists)).alias("cut"))
-    order = Window.partitionBy("row", "cut.kind").orderBy("cut.i")
-    start = F.sum("cut.size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    found = cuts.withColumn("start", start).where("cut.i > 0").select("id", "h", "start", "cut.*")
-    found = found.where(_valid(F.col("kind"), F.col("match")))
-    end = (F.col("start") + F.length("match")).alias("end")
-    return found.select("id", "h", "kind", "start", end, "match", "left", "right").dropDuplicates(
-        ["id", "h", "kind", "start"]
-    )
-
-
 # ---- patterns and instances ---------------------------------------------------------------------
 
 
 def _contexts(found: DataFrame) -> DataFrame:
     """One row per occurrence and lexical pattern: the words before it, and before and behind it."""
-    two = F.regexp_replace(F.regexp_replace("left", r"\s++", " "), r"^\s", "")
+    two = F.col("left")
     last = F.substring_index(two, " ", -1)
     patterns = F.array(
         F.when(last != "", F.concat(F.lit("l "), last)),
@@ -175,8 +138,9 @@ def personal_spans(
     no base span and stand in a context which the bootstrap trusts. h is the hash of the text.
     """
     method = method or Bootstrap()
-    base = stored(matches(docs, PATTERNS, id_column, text_column), "base")
-    tokens = matches(docs, {"token": CANDIDATE}, id_column, text_column)
+    base = matches(docs, PATTERNS, _HINT, "[0-9@]", id_column, text_column)
+    base = stored(_words(base.where(_valid(F.col("kind"), F.col("match")))), "base")
+    tokens = _words(matches(docs, {"token": CANDIDATE}, {}, "[0-9@]", id_column, text_column))
     tokens = tokens.where((F.length(F.regexp_replace("match", "[^0-9]", "")) >= method.digits) | F.contains("match", F.lit("@")))
     # Overlaps: with both kinds of spans in order, a token overlaps if a base span reaches into it.
     both = base.select("id", "h", "start", "end", F.lit(True).alias("known"), "match", "left", "right").unionByName(

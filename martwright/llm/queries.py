@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martwright.llm.common import table
 
@@ -17,6 +16,19 @@ def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op3_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.mixing import mix_sources
+
+    weights = {"clean": 0.9, "junk": 0.08, "toxic": 0.02}
+    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "labels"), weights)
+
+
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.secrets import secret_scan
+
+    return secret_scan(table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from martwright.llm.token_counts import token_counts
 
@@ -30,6 +42,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_quality(docs, fit_quality(docs, table(spark, folder, "labels")))
 
 
+def op7_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.licenses import license_passages
+
+    return license_passages(table(spark, folder, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from martwright.llm.packing import pack_sequences
 
@@ -50,8 +68,11 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_mixing_sources": op3_mixing_sources,
+    "op4_secret_scans": op4_secret_scans,
     "op5_token_counts": op5_token_counts,
     "op6_quality_rules": op6_quality_rules,
+    "op7_license_scans": op7_license_scans,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pii": op9_pii,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
