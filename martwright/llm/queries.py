@@ -10,6 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from martwright.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.suffix_dedup import removed_bytes
+
+    return removed_bytes(table(spark, folder, "documents")).drop("starts", "ends")
+
+
 def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     from martwright.llm.fingerprints import edited_fingerprints
 
@@ -67,6 +73,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_mixing_sources": op3_mixing_sources,
     "op4_secret_scans": op4_secret_scans,
