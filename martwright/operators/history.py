@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
@@ -20,25 +20,26 @@ def start_history(source: DataFrame, updated_at: str = "updated_at") -> DataFram
 def extend_history(
     history: DataFrame, source: DataFrame, key: str, updated_at: str = "updated_at"
 ) -> DataFrame:
-    """History with the source's newer rows: the version before ends where the new one begins.
+    """History with the source's newer rows: each version ends where the next one of its key begins.
 
-    Ended versions pass through without a join; a key has one open version, so the joins are one
-    to one however often a key has changed. Rows missing from the source stay as they are.
+    The source may hold several versions of a key; they follow each other by time, and of rows with
+    one key and time the one that is largest by its other columns counts. Ended versions pass through
+    without a join. Rows missing from the source stay as they are.
     """
     ended = history.where(F.col(VALID_TO).isNotNull())
     still_open = history.where(F.col(VALID_TO).isNull())
-    incoming = source.select(key, F.col(updated_at).alias("_next"))
-    closing = F.when(F.col("_next") > F.col(VALID_FROM), F.col("_next"))
-    carried = still_open.join(incoming, key, "left").withColumn(VALID_TO, closing)
     known = still_open.select(key, F.col(VALID_FROM).alias("_since"))
     newer = source.join(known, key, "left").where(
         F.col("_since").isNull() | (F.col(updated_at) > F.col("_since"))
     )
-    return (
-        ended.unionByName(carried.drop("_next"))
-        .unionByName(start_history(newer.drop("_since"), updated_at))
-        .select(*history.columns)
-    )
+    others = [F.desc(c) for c in source.columns if c not in (key, updated_at)]
+    same_time = Window.partitionBy(key, updated_at).orderBy(*others or [key])
+    newer = newer.withColumn("_place", F.row_number().over(same_time)).where("_place = 1")
+    following = F.lead(updated_at).over(Window.partitionBy(key).orderBy(updated_at))
+    added = start_history(newer.drop("_since", "_place"), updated_at).withColumn(VALID_TO, following)
+    first = newer.groupBy(key).agg(F.min(updated_at).alias("_next"))
+    carried = still_open.join(first, key, "left").withColumn(VALID_TO, F.col("_next")).drop("_next")
+    return ended.unionByName(carried).unionByName(added).select(*history.columns)
 
 
 def compare_tables(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str] = ()) -> DataFrame:

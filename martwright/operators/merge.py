@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.operators.materialize import shared_folder
+from martwright.operators.materialize import remove_folder, shared_folder
+from martwright.operators.tables import clustered
+from martwright.session import RESULT_SETTINGS
 
 PENDING = "martwright.pending_merge"
 
@@ -67,67 +71,82 @@ def upserted(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 
 
 def merge_into_table(
-    spark: SparkSession, table: str, updates: DataFrame, key: str, partition_column: str | None = None
+    spark: SparkSession,
+    table: str,
+    updates: DataFrame,
+    key: str,
+    partition_column: str | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Upsert into a Parquet table; with a partition column only the partitions concerned are written.
 
     These are the partitions the updates fall in and the ones that hold an older row of an updated
-    key. Their new content is staged first, in the folder all executors share, and the table notes
-    where. If the run dies before the copy is through, the next merge finishes it from there. One
-    writer at a time.
+    key. Their new content is staged first, in a folder of this merge alone that all executors share,
+    and the table notes where. If the run dies before the copy is through, the next merge finishes
+    it from there. Afterwards the folder is deleted. One writer at a time. `cluster_by` keeps the layout
+    of a table that was written clustered.
     """
-    finish_pending_merge(spark, table, partition_column)
+    finish_pending_merge(spark, table, partition_column, cluster_by)
     target = spark.table(table)
     check_same_columns(target, updates)
-    root = f"{shared_folder(spark).rstrip('/')}/merge/{table.replace('.', '/')}"
-
+    root = f"{shared_folder(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
     # Written down once: the updates are read several times and must not change in between.
-    updates.select(*target.columns).write.mode("overwrite").parquet(f"{root}/updates")
+    updates.select(*target.columns).write.parquet(f"{root}/updates")
     updates = spark.read.schema(target.schema).parquet(f"{root}/updates")
-    check_unique_key(updates, key)
-
-    if partition_column is None:
-        upserted(target, updates, key).write.mode("overwrite").parquet(f"{root}/staged")
-    else:
-        concerned = _partitions_concerned(target, updates, key, partition_column)
-        if not concerned:
-            return
-        column = F.col(partition_column)
-        in_scope = column.cast("string").isin([value for value in concerned if value is not None])
-        if None in concerned:
-            in_scope = in_scope | column.isNull()
-        staged = upserted(target.where(in_scope), updates, key)
-        staged.write.mode("overwrite").parquet(f"{root}/staged")
-        filled = _distinct_values(spark.read.parquet(f"{root}/staged"), partition_column)
-        spark.createDataFrame([(value,) for value in concerned - filled], "value string").write.mode(
-            "overwrite"
-        ).parquet(f"{root}/emptied")
+    staged = None
+    try:
+        check_unique_key(updates, key)
+        if partition_column is None:
+            staged = upserted(target, updates, key)
+            staged.write.parquet(f"{root}/staged")
+        elif concerned := _partitions_concerned(target, updates, key, partition_column):
+            column = F.col(partition_column)
+            in_scope = column.cast("string").isin([value for value in concerned if value is not None])
+            if None in concerned:
+                in_scope = in_scope | column.isNull()
+            staged = upserted(target.where(in_scope), updates, key)
+            staged.write.parquet(f"{root}/staged")
+            filled = _distinct_values(spark.read.parquet(f"{root}/staged"), partition_column)
+            emptied = [(value,) for value in concerned - filled]
+            spark.createDataFrame(emptied, "value string").write.parquet(f"{root}/emptied")
+    except BaseException:
+        remove_folder(spark, root)
+        raise
+    if staged is None:
+        remove_folder(spark, root)
+        return
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{root}')")
-    finish_pending_merge(spark, table, partition_column)
+    finish_pending_merge(spark, table, partition_column, cluster_by)
 
 
-def finish_pending_merge(spark: SparkSession, table: str, partition_column: str | None = None) -> None:
+def finish_pending_merge(
+    spark: SparkSession, table: str, partition_column: str | None = None, cluster_by: Sequence[str] = ()
+) -> None:
     """Copy a staged merge into the table. Safe to repeat: it replaces whole partitions."""
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     root = properties.get(PENDING)
     if root is None:
         return
-    staged = spark.read.schema(spark.table(table).schema).parquet(f"{root}/staged")
+    # A session of its own, whose setting for partition overwrites no other query sees.
+    own = spark.newSession()
+    for key in (*RESULT_SETTINGS, "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if "." not in table:
+        table = f"{spark.catalog.currentDatabase()}.{table}"
+    staged = own.read.schema(spark.table(table).schema).parquet(f"{root}/staged")
     if partition_column is None:
+        staged = clustered(staged, cluster_by) if cluster_by else staged
         staged.write.mode("overwrite").insertInto(table)
     else:
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            # Splits a large partition over several files and gathers small ones.
-            staged.hint("rebalance", partition_column).write.mode("overwrite").insertInto(table)
-        finally:
-            spark.conf.set(mode, before)
+        # Splits a large partition over several files and gathers small ones.
+        staged.hint("rebalance", partition_column).write.mode("overwrite").insertInto(table)
         for row in spark.read.parquet(f"{root}/emptied").collect():
             value = "null" if row[0] is None else f"'{row[0]}'"
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_column} = {value})")
+    spark.catalog.refreshTable(table)
     spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{PENDING}')")
+    remove_folder(spark, root)
 
 
 def _distinct_values(df: DataFrame, column: str) -> set:

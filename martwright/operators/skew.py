@@ -12,14 +12,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Below this size one task can hold all rows of a key, so nothing needs spreading.
+# Default of `small_rows`: in a table of fewer rows one task can hold all rows of a key, so nothing is
+# spread. It is a parameter of the search; results are the same with any value.
 SMALL_ROWS = 5_000_000
 # Largest frame that is copied to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A sketch keeps at most this many counters per column, so its size does not grow with the data.
-SKETCH_COUNTERS = 4_000
-TOP_KEYS = 100
+# A sketch keeps this many counters for each key that can be heavy. Only partitions / 2 keys can, so
+# its size grows with the partitions and not with the data.
+COUNTERS_PER_KEY = 8
+LEAST_COUNTERS, MOST_COUNTERS = 4_000, 1_000_000
+# Up to this many heavy keys are told apart by an expression, more by a small table.
+EXPRESSION_KEYS = 64
 # Sketches of the scan tasks are merged in this many groups first, and then once more.
 MERGE_GROUPS = 256
 
@@ -43,8 +48,23 @@ class HotKeys:
 
     def salt(self, key: Column, spread: str) -> Column:
         """Salt of a row. Only rows of heavy keys are hashed; never NULL, so nothing checks for it."""
-        count = self.salt_count(key)
-        return F.coalesce(F.when(count > 1, F.pmod(F.xxhash64(spread), count).cast("int")), F.lit(0))
+        return _salt(self.salt_count(key), spread)
+
+    def with_salt_count(self, df: DataFrame, key: str, column: str) -> DataFrame:
+        """Adds the salt count of each row. A long list is looked up in a table, which is broadcast:
+        it has at most half as many rows as there are shuffle partitions."""
+        if len(self.salts) <= EXPRESSION_KEYS:
+            return df.withColumn(column, self.salt_count(F.col(key)))
+        kind = df.schema[key].dataType
+        schema = T.StructType([T.StructField(key, kind), T.StructField(column, T.IntegerType())])
+        known = df.sparkSession.createDataFrame(list(self.salts.items()), schema)
+        other = F.when(F.col(key).isNull(), self.null_salts).otherwise(1)
+        found = df.join(F.broadcast(known), key, "left")
+        return found.select(*df.columns, F.coalesce(column, other).alias(column))
+
+
+def _salt(count: Column, spread: str) -> Column:
+    return F.coalesce(F.when(count > 1, F.pmod(F.xxhash64(spread), count).cast("int")), F.lit(0))
 
 
 NO_HOT_KEYS = HotKeys()
@@ -55,8 +75,8 @@ def find_hot_keys(
 ) -> dict[str, HotKeys]:
     """Heavy keys of several columns in one pass that reads only these columns.
 
-    A key is heavy when its rows would fill at least two average shuffle partitions. It gets one
-    salt per partition's worth of rows. Small tables, which a count of the file footers tells apart,
+    A key is heavy when its rows would fill at least two average shuffle partitions, so at most half as
+    many keys as partitions are. It gets one salt per partition's worth of rows. Small tables, which a count of the file footers tells apart,
     have no heavy keys.
     """
     if df.count() < max(small_rows, 1):
@@ -64,9 +84,12 @@ def find_hot_keys(
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = list(enumerate(columns))
+    top_keys = max(1, partitions // 2)
+    counters = min(max(COUNTERS_PER_KEY * top_keys, LEAST_COUNTERS), MOST_COUNTERS)
+    top_keys = min(top_keys, counters)
 
     def sketch(function: str, argument: str) -> Column:
-        return F.expr(f"{function}({argument}, {SKETCH_COUNTERS})")
+        return F.expr(f"{function}({argument}, {counters})")
 
     group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     partial = df.groupBy(group.alias("_group")).agg(
@@ -82,7 +105,7 @@ def find_hot_keys(
     row = merged.select(
         "rows",
         *[f"known_{i}" for i, _ in numbered],
-        *[F.expr(f"approx_top_k_estimate(top_{i}, {TOP_KEYS})").alias(f"top_{i}") for i, _ in numbered],
+        *[F.expr(f"approx_top_k_estimate(top_{i}, {top_keys})").alias(f"top_{i}") for i, _ in numbered],
     ).first()
 
     def salts_for(rows: int) -> int:
@@ -132,8 +155,9 @@ def skew_join(
         raise ValueError("only inner and left joins can repeat rows of the right side")
     if not hot:
         return left.join(right, key, how)
-    salted_left = left.withColumn("_salt", hot.salt(F.col(key), spread))
-    salted_right = right.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), hot.salt_count(F.col(key)) - 1))
-    )
+    salted_left = hot.with_salt_count(left, key, "_salts")
+    salted_left = salted_left.withColumn("_salt", _salt(F.col("_salts"), spread)).drop("_salts")
+    salted_right = hot.with_salt_count(right, key, "_salts")
+    salted_right = salted_right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    salted_right = salted_right.drop("_salts")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.operators.materialize import remove_folder, shared_folder
+
 AUDIT_COLUMNS = ("loaded_at", "invocation_id")
 
 
@@ -50,16 +53,33 @@ def replace_table(
     spread: Sequence[str] = (),
     partition_by: str | None = None,
 ) -> DataFrame:
-    """Write the whole table anew and return it as read back."""
+    """Write the whole table anew and return it as read back; a failed computation leaves the old table.
+
+    A plain table is written beside the old one and takes its name when it is complete. Not every
+    catalog moves partitions with a renamed table, so the rows of a partitioned one are staged in the
+    shared folder and copied when they are complete.
+    """
+    spark = df.sparkSession
     if partition_by is not None:
-        df = df.hint("rebalance", partition_by)
-    elif cluster_by:
+        root = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+        try:
+            df.write.parquet(root)
+            staged = spark.read.schema(df.schema).parquet(root).hint("rebalance", partition_by)
+            staged.write.mode("overwrite").format("parquet").partitionBy(partition_by).saveAsTable(table)
+        finally:
+            remove_folder(spark, root)
+        return spark.table(table)
+    if cluster_by:
         df = clustered(df, cluster_by, spread)
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+    fresh = f"{table}_{uuid.uuid4().hex}"
+    try:
+        df.write.format("parquet").saveAsTable(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    return spark.table(table)
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:

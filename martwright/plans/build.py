@@ -13,6 +13,7 @@ from martwright.functions.columns import period_start
 from martwright.operators import merge, quality, tables
 from martwright.plans import checks, gold, silver, staging
 from martwright.plans.skew_profile import SkewProfile, profile_skew
+from martwright.session import apply_settings
 from martwright.sources.raw import RawTables
 
 
@@ -75,7 +76,7 @@ def changed_orders(target: DataFrame, staged: Staged, run: Run) -> DataFrame:
     changed = staged.orders.where(
         merge.changed_since(F.col("updated_at"), newest, run.run_at, run.lookback_days)
     )
-    items = silver.items_of(staged.order_items, changed)
+    items = silver.items_of(staged.order_items, changed, staged.skew.orders)
     return silver.int_orders_enriched(
         changed, items, staged.customers, staged.skew.customers, run.unique_ids
     )
@@ -98,8 +99,13 @@ def changed_days(target: DataFrame, enriched: DataFrame, run: Run) -> DataFrame:
 def build(spark: SparkSession, raw: RawTables, run: Run) -> dict[str, DataFrame]:
     """Build staging views, silver and gold tables; returns them by name.
 
-    Incremental tables are merged when they exist, unless a full refresh is asked for.
+    Incremental tables are merged when they exist, unless a full refresh is asked for. The session gets
+    the settings that results depend on. A claim that ids are unique is verified first.
     """
+    apply_settings(spark)
+    if run.unique_ids:
+        merge.check_unique_key(raw.orders, "order_id")
+        merge.check_unique_key(raw.order_items, "order_item_id")
     for layer in ("silver", "gold"):
         tables.ensure_database(spark, tables.layer_schema(layer, run.default_schema, run.target))
     staged = stage(raw)
@@ -136,7 +142,9 @@ def build(spark: SparkSession, raw: RawTables, run: Run) -> dict[str, DataFrame]
         tables.replace_table(run.audited(daily), name, cluster_by=["date_day"])
     else:
         updates = changed_days(spark.table(name), built["int_orders_enriched"], run)
-        merge.merge_into_table(spark, name, run.audited(updates), "date_day")
+        merge.merge_into_table(
+            spark, name, run.audited(updates), "date_day", cluster_by=["date_day"]
+        )
     built["mart_sales_daily"] = spark.table(name)
 
     lifetime_value = gold.mart_customer_lifetime_value(

@@ -43,9 +43,12 @@ def order_line_totals(order_items: DataFrame, unique_items: bool = False) -> Dat
     return counted.join(lines.groupBy("order_id").agg(*totals), "order_id")
 
 
-def items_of(order_items: DataFrame, orders: DataFrame) -> DataFrame:
+def items_of(order_items: DataFrame, orders: DataFrame, hot_orders: HotKeys = NO_HOT_KEYS) -> DataFrame:
     """Lines of the given orders, so an incremental run sums up only what it needs."""
-    return order_items.join(orders.select("order_id"), "order_id", "left_semi")
+    wanted = orders.select("order_id").distinct()
+    return skew_join(order_items, wanted, "order_id", hot=hot_orders, spread="order_item_id").select(
+        *order_items.columns
+    )
 
 
 def orders_with_totals(
@@ -98,12 +101,24 @@ def int_orders_enriched(
     return joined.select(*lead, *[c for c in totals.columns if c not in lead])
 
 
+# The columns of the line table, in the order in which readers expect them.
+LINE_COLUMNS = (
+    "customer_id customer_key customer_name customer_email city state country "
+    "order_id order_key order_date order_date_day order_status is_completed is_cancelled "
+    "payment_method shipping_method order_item_id order_item_key "
+    "product_id product_key product_name category subcategory brand "
+    "quantity unit_price line_total unit_cost line_profit line_profit_margin_pct "
+    "shipping_cost tax_amount discount_amount is_line_total_valid transaction_date line_item_created_at"
+).split()
+
+
 def int_customer_orders(
     order_items: DataFrame,
     products: DataFrame,
     orders: DataFrame,
     customers: DataFrame,
     skew: SkewProfile = EVEN,
+    small_catalogue: bool | None = None,
 ) -> DataFrame:
     """One row per line whose product, order and customer are known, with the profit of the line.
 
@@ -111,6 +126,8 @@ def int_customer_orders(
     small is broadcast to the lines where they are, last, so its texts are never shuffled; a large
     one is joined first, because its columns are narrower than those of order and customer. The
     key of a line follows from its id, so it is hashed after the joins and not carried through them.
+    The catalogue is measured unless `small_catalogue` says what an earlier measurement found; either
+    way the rows and the order of the columns are the same.
     """
     heads = skew_join(
         orders.select(
@@ -160,7 +177,7 @@ def int_customer_orders(
         "brand",
         "unit_cost",
     )
-    if fits_broadcast(catalogue):
+    if fits_broadcast(catalogue) if small_catalogue is None else small_catalogue:
         placed = skew_join(lines, heads, "order_id", hot=skew.orders, spread="order_item_id")
         joined = placed.join(F.broadcast(catalogue), "product_id")
     else:
@@ -174,7 +191,7 @@ def int_customer_orders(
             "line_profit_margin_pct": percent(profit, F.col("line_total")),
             "transaction_date": F.col("order_date"),
         }
-    )
+    ).select(*LINE_COLUMNS)
 
 
 def customer_order_history(orders: DataFrame, unique_orders: bool = False) -> DataFrame:

@@ -3,7 +3,7 @@
 Every order, line, part and customer becomes one retail row. The traits the marts must cope with are
 put in on the way: orders of unknown customers, lines of unknown products, so customers without
 orders and products without sales; customers without a completed order; zero prices and stock; wrong
-line totals; blanks around codes.
+line totals; discounts above the total; negative costs; blanks around codes.
 """
 
 from __future__ import annotations
@@ -93,7 +93,10 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         payment.alias("payment_method"),
         F.when(urgent, money("12.99")).otherwise(money("5.99")).alias("shipping_cost"),
         money(tax).alias("tax_amount"),
-        F.when(key % 5 == 0, money("10.00")).otherwise(money("0.00")).alias("discount_amount"),
+        F.when(key % 211 == 7, money("9000000.00"))
+        .when(key % 5 == 0, money("10.00"))
+        .otherwise(money("0.00"))
+        .alias("discount_amount"),
         ordered.alias("created_at"),
         (ordered + F.make_dt_interval(days=(key % 6).cast("int"))).alias("updated_at"),
     )
@@ -102,7 +105,8 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     key, kind, retail = F.col("p_partkey"), F.col("p_type"), F.col("p_retailprice")
     start = F.lit("1995-01-01").cast("date")
-    cost = F.round(money(retail) * F.lit("0.60").cast("decimal(4,2)"), 2)
+    share = F.when(key % 97 == 5, F.lit("-0.60")).otherwise(F.lit("0.60")).cast("decimal(4,2)")
+    cost = F.round(money(retail) * share, 2)
     return table(spark, folder, "part").select(
         key.alias("product_id"),
         F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("product_name"),

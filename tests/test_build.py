@@ -7,6 +7,7 @@ from conftest import rows, same
 from pyspark.sql import functions as F
 
 from martwright.operators import tables
+from martwright.operators.merge import DuplicateKeys
 from martwright.plans import build as b
 from martwright.plans import gold, reports, silver, staging
 from martwright.plans.checks import DECLARED_CHECKS
@@ -151,6 +152,13 @@ def test_lines_are_the_same_with_a_large_catalogue(staged, monkeypatch):
     assert "BroadcastHashJoin [product_id" in small._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(silver, "fits_broadcast", lambda df: False)
     same(small, lines_of(staged))
+    assert small.columns == lines_of(staged).columns == silver.LINE_COLUMNS
+
+
+def test_a_wrong_claim_of_unique_ids_is_refused(spark):
+    repeated = raw_tables(spark, orders=[*ORDERS, ORDERS[0]])
+    with pytest.raises(DuplicateKeys, match="order_id"):
+        b.build(spark, repeated, b.Run(as_of=DAY, unique_ids=True, default_schema="claims"))
 
 
 def test_lifetime_value(staged):

@@ -45,3 +45,16 @@ def test_compare(spark):
         "only_right": 1,
     }
     assert dict(compare_tables(left, right, "id", ["updated_at"]).collect())["identical"] == 3
+
+
+def test_several_versions_of_a_key_in_one_source(spark):
+    first = start_history(frame(spark, [(1, "a", 1)]))
+    twice = frame(spark, [(1, "c", 3), (1, "b", 2), (1, "b2", 2), (1, "a", 1), (2, "x", 5), (2, "w", 4)])
+    found = versions(extend_history(first, twice, "id"))
+    assert found == [
+        (1, "a", at(1), at(2)),
+        (1, "b2", at(2), at(3)),
+        (1, "c", at(3), None),
+        (2, "w", at(4), at(5)),
+        (2, "x", at(5), None),
+    ]

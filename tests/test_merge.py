@@ -1,11 +1,12 @@
 import datetime as dt
+import os
 import time
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from martwright.operators import merge
+from martwright.operators import merge, tables
 
 SCHEMA = "id long, v string, m timestamp_ntz"
 
@@ -75,7 +76,7 @@ def test_interrupted_merge_is_finished_later(spark, target, monkeypatch):
     finish = merge.finish_pending_merge
     calls = []
 
-    def dies(*args):
+    def dies(*args, **kwargs):
         calls.append(args)
         if len(calls) == 2:
             raise RuntimeError("lost")
@@ -90,6 +91,57 @@ def test_interrupted_merge_is_finished_later(spark, target, monkeypatch):
     assert content(spark, target) == [(1, "A", 1), (2, "b", 1), (3, "c", 2), (4, "D", 2)]
 
 
+def test_tables_of_one_name_do_not_meet(spark, monkeypatch):
+    """A merge that dies is finished with its own rows, though a table of the same name is merged since."""
+    for database in ("near", "far"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        frame(spark, [(1, database, 1)]).write.format("parquet").saveAsTable(f"{database}.t")
+    finish = merge.finish_pending_merge
+    monkeypatch.setattr(merge, "finish_pending_merge", lambda *args: None)
+    merge.merge_into_table(spark, "near.t", frame(spark, [(2, "near-new", 1)]), "id")
+    monkeypatch.undo()
+    merge.merge_into_table(spark, "far.t", frame(spark, [(3, "far-new", 1)]), "id")
+    finish(spark, "near.t")
+    assert content(spark, "near.t") == [(1, "near", 1), (2, "near-new", 1)]
+    assert content(spark, "far.t") == [(1, "far", 1), (3, "far-new", 1)]
+    spark.sql("DROP DATABASE near CASCADE")
+    spark.sql("DROP DATABASE far CASCADE")
+
+
+def test_no_folder_is_left(spark, target):
+    shared = merge.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    merge.merge_into_table(spark, target, frame(spark, [(1, "A", 1)]), "id", "m")
+    merge.merge_into_table(spark, target, frame(spark, []), "id", "m")
+    with pytest.raises(merge.DuplicateKeys):
+        merge.merge_into_table(spark, target, frame(spark, [(1, "x", 1), (1, "y", 1)]), "id", "m")
+    assert set(os.listdir(shared)) == before
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_merge_keeps_the_cluster_layout(spark):
+    spread = spark.range(40_000).select("id", F.lit("v").alias("v"), F.lit(month(1)).cast("timestamp_ntz").alias("m"))
+    tables.replace_table(spread, "t_laid", cluster_by=["id"])
+    merge.merge_into_table(spark, "t_laid", frame(spark, [(0, "x", 1), (39_999, "y", 1)]), "id", cluster_by=["id"])
+    ranges = spark.table("t_laid").groupBy(F.input_file_name()).agg(F.min("id"), F.max("id")).collect()
+    edges = sorted((r[1], r[2]) for r in ranges)
+    assert all(a[1] < b[0] for a, b in zip(edges[:-1], edges[1:], strict=True))
+    assert spark.table("t_laid").count() == 40_000
+    spark.sql("DROP TABLE t_laid")
+
+
+def test_failed_rebuild_leaves_the_old_table(spark):
+    tables.replace_table(frame(spark, [(1, "a", 1)]), "t_kept")
+    broken = frame(spark, [(2, "b", 1)]).withColumn("v", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_table(broken, "t_kept")
+    assert content(spark, "t_kept") == [(1, "a", 1)]
+    grown = spark.table("t_kept").union(frame(spark, [(2, "b", 1)]))
+    assert content(spark, "t_kept") and tables.replace_table(grown, "t_kept").count() == 2
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("t_kept")] == ["t_kept"]
+    spark.sql("DROP TABLE t_kept")
+
+
 def test_duplicate_key_is_refused(spark, target):
     with pytest.raises(merge.DuplicateKeys):
         merge.merge_into_table(spark, target, frame(spark, [(1, "x", 1), (1, "y", 1)]), "id", "m")

@@ -50,3 +50,13 @@ def test_broadcast_looks_at_measured_bytes(spark):
     assert size_in_bytes(df) == 100 * (3 * 16 + 50)
     assert size_in_bytes(df.limit(0)) == 0
     assert fits_broadcast(df, 9_800) and not fits_broadcast(df, 9_799)
+
+
+def test_every_heavy_key_is_named_and_looked_up(spark):
+    """400 equal keys at 2,000 partitions: all are heavy, and joins by the looked-up salts hold."""
+    df = spark.range(40_000).select("id", (F.col("id") % 400).alias("k"))
+    hot = find_hot_keys(df, "k", partitions=2_000, small_rows=0)["k"]
+    assert len(hot.salts) == 400 and set(hot.salts.values()) == {5}
+    right = spark.range(0, 500, 3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        same(skew_join(df, right, "k", how, hot, spread="id"), df.join(right, "k", how))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from martwright.functions import rules
 from verification.queries import (
     AS_OF,
     CUTOFF,
@@ -57,7 +58,7 @@ STEPS = {
                ['Credit_Card', 'paypal', 'debit_card'][o_orderkey % 3 + 1] AS payment_method,
                {_money("if(o_orderpriority[1] IN ('1', '2'), 12.99, 5.99)")} AS shipping_cost,
                {_money("round(o_totalprice::DECIMAL(12,2) * 0.07::DECIMAL(4,2), 2)")} AS tax_amount,
-               {_money("if(o_orderkey % 5 = 0, 10, 0)")} AS discount_amount,
+               {_money("if(o_orderkey % 211 = 7, 9000000, if(o_orderkey % 5 = 0, 10, 0))")} AS discount_amount,
                o_orderdate AS created_at,
                o_orderdate + to_days((o_orderkey % 6)::INTEGER) AS updated_at
         FROM orders""",
@@ -65,7 +66,7 @@ STEPS = {
         SELECT p_partkey AS product_id, ' ' || p_name || ' ' AS product_name, p_type AS category,
                p_type || '/' || p_size % 5 AS subcategory, p_brand AS brand,
                {_money("if(p_partkey % 499 = 0, 0, p_retailprice)")} AS price,
-               {_money("round(p_retailprice::DECIMAL(12,2) * 0.60::DECIMAL(4,2), 2)")} AS cost,
+               {_money("round(p_retailprice::DECIMAL(12,2) * if(p_partkey % 97 = 5, -0.60, 0.60)::DECIMAL(4,2), 2)")} AS cost,
                (p_partkey * 37) % 300 AS stock_quantity
         FROM part""",
     "raw_order_items": f"""
@@ -130,6 +131,10 @@ STEPS = {
                created_at AS order_created_at, updated_at AS order_updated_at,
                updated_at::DATE - created_at::DATE AS days_to_fulfill
         FROM so LEFT JOIN totals t USING (order_id)""",
+    "enriched": """
+        SELECT heads.*, customer_key, full_name AS customer_name, email AS customer_email,
+               city AS customer_city, state AS customer_state, country AS customer_country
+        FROM heads LEFT JOIN sc USING (customer_id)""",
     "history": """
         SELECT customer_id, min(order_date) AS first_order_date, max(order_date) AS last_order_date,
                count(DISTINCT order_id) AS total_orders,
@@ -197,7 +202,7 @@ STEPS = {
                {_mean("discount_percentage::DECIMAL(20,2)", "is_completed")} AS avg_discount_percentage,
                count(DISTINCT order_id) FILTER (WHERE is_completed AND discount_amount > 0)
                    AS orders_with_discount
-        FROM heads GROUP BY ALL""",
+        FROM enriched GROUP BY ALL""",
     "daily": f"""
         SELECT *, date_trunc('week', date_day)::TIMESTAMP AS order_week,
                date_trunc('month', date_day)::TIMESTAMP AS order_month,
@@ -323,15 +328,26 @@ def _outside(table: str, column: str, step: str, values: str) -> str:
 _ALL_STATUSES = "'pending', 'processing', 'shipped', 'completed', 'cancelled'"
 _SEGMENTS = "'No Orders', 'New', 'Active', 'At Risk', 'Churned'"
 
+
+def _labels(*values: str) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_FREQUENCIES = _labels(*[label for label, _ in rules.FREQUENCY_BANDS], rules.FREQUENCY_ABOVE)
+_RFM = _labels(*[label for label, *_ in rules.RFM_SEGMENTS], rules.RFM_OTHER)
+_TIERS = _labels(*[label for label, _ in rules.VALUE_TIERS], rules.TIER_ABOVE_ZERO, rules.TIER_NONE)
+_VELOCITIES = _labels(
+    rules.VELOCITY_NEVER, rules.VELOCITY_BELOW, *[label for label, _ in rules.VELOCITY_BANDS]
+)
+_HEALTH = _labels(*rules.INVENTORY_HEALTH)
+
 FINAL = {
     "stg_customers": "SELECT * FROM sc",
     "stg_orders": "SELECT * FROM so",
     "stg_products": "SELECT *, TIMESTAMP '1995-01-01' AS created_at, TIMESTAMP '1995-01-01' AS updated_at FROM sp",
     "stg_order_items": "SELECT * FROM si",
-    "int_orders_enriched": """
-        SELECT heads.*, customer_key, full_name AS customer_name, email AS customer_email,
-               city AS customer_city, state AS customer_state, country AS customer_country
-        FROM heads LEFT JOIN sc USING (customer_id)""",
+    "int_orders_enriched": "SELECT * FROM enriched",
+    "int_orders_enriched_salted": "SELECT * FROM enriched",
     "int_customer_orders": "SELECT * FROM lines",
     "dim_customers": "SELECT * FROM dim",
     "mart_sales_daily": "SELECT * FROM daily",
@@ -349,6 +365,9 @@ FINAL = {
     "report_tier_segment": """
         SELECT customer_value_tier, rfm_segment, count(*) AS customers, sum(lifetime_revenue) AS total_revenue
         FROM clv GROUP BY ALL""",
+    "report_tier_segment_rounded": """
+        SELECT customer_value_tier, rfm_segment, count(*) AS customers, sum(lifetime_revenue) AS total_revenue
+        FROM clv GROUP BY ALL""",
     "report_top_products": "SELECT * FROM perf WHERE is_top_revenue_product",
     "join_left_orders_items": """
         SELECT order_id, customer_id, order_status, items_count, subtotal_amount, full_name
@@ -356,6 +375,9 @@ FINAL = {
     "join_inner_lines": """
         SELECT order_item_id, order_id, product_id, customer_id, category, country, quantity
         FROM si JOIN sp USING (product_id) JOIN so USING (order_id) JOIN sc USING (customer_id)""",
+    "join_inner_lines_salted": """
+        SELECT order_item_id, order_id, product_id, customer_id, category, country, quantity
+        FROM si JOIN sp USING (product_id) JOIN so USING (order_id) JOIN sc USING (customer_id)""",
     "join_left_customer_orders": """
         SELECT history.* REPLACE (sc.customer_id AS customer_id), full_name
         FROM sc LEFT JOIN history ON sc.customer_id = history.customer_id""",
@@ -380,13 +402,26 @@ FINAL = {
                    AS wow_growth_pct
         FROM paired""",
     # An incremental run must end where one full build ends.
-    "merge_orders": "SELECT * FROM heads",
+    "merge_orders": "SELECT * FROM enriched",
     "merge_sales_daily": "SELECT * FROM daily",
+    # Every change of an order in the order of time; each version ends where the next begins.
     "order_status_history": f"""
-        SELECT order_id, order_status, updated_at, updated_at AS valid_from, NULL::TIMESTAMP AS valid_to FROM so
-        UNION ALL
-        SELECT order_id, 'pending', created_at, created_at, updated_at FROM so
-        WHERE order_date_day < DATE '{CUTOFF}' AND updated_at >= DATE '{CUTOFF}'""",
+        WITH known AS (
+            SELECT order_id, if(updated_at >= DATE '{CUTOFF}', 'pending', order_status) AS order_status,
+                   if(updated_at >= DATE '{CUTOFF}', created_at, updated_at) AS moment
+            FROM so WHERE order_date_day < DATE '{CUTOFF}'),
+        later AS (
+            SELECT order_id, order_status, updated_at AS moment FROM so
+            UNION ALL
+            SELECT order_id, 'placed', created_at FROM so WHERE order_id % 3 = 0 AND updated_at > created_at),
+        versions AS (
+            SELECT * FROM known
+            UNION ALL
+            SELECT later.* FROM later LEFT JOIN known USING (order_id)
+            WHERE known.moment IS NULL OR later.moment > known.moment)
+        SELECT order_id, order_status, moment AS updated_at, moment AS valid_from,
+               lead(moment) OVER (PARTITION BY order_id ORDER BY moment) AS valid_to
+        FROM versions""",
     "compare_order_states": f"""
         SELECT if(order_date_day >= DATE '{CUTOFF}', 'only_right',
                   if(updated_at >= DATE '{CUTOFF}', 'different', 'identical')) AS status, count(*) AS keys
@@ -422,10 +457,52 @@ FINAL = {
             _outside("dim_customers", "purchase_frequency_segment", "dim", "'Never Purchased'"),
         ]
     ),
+    "check_declared_silver": " UNION ALL ".join(
+        [
+            _twice("int_orders_enriched", "order_id", "enriched"),
+            *[_missing("int_orders_enriched", c, "enriched") for c in ("order_id", "customer_id", "grand_total")],
+            _check(
+                "int_orders_enriched",
+                "customer_id",
+                "relationships",
+                "SELECT count(*) FROM enriched WHERE customer_id NOT IN (SELECT customer_id FROM dim)",
+            ),
+            _outside("int_orders_enriched", "order_status", "enriched", _ALL_STATUSES),
+            _twice("int_customer_orders", "order_item_id", "lines"),
+            *[
+                _missing("int_customer_orders", c, "lines")
+                for c in ("order_item_id", "customer_id", "is_line_total_valid")
+            ],
+            _twice("dim_customers", "customer_id", "dim"),
+            *[_missing("dim_customers", c, "dim") for c in ("customer_id", "email", "customer_segment")],
+            _outside("dim_customers", "customer_segment", "dim", _SEGMENTS),
+            _outside("dim_customers", "purchase_frequency_segment", "dim", _FREQUENCIES),
+        ]
+    ),
+    "check_declared_gold": " UNION ALL ".join(
+        [
+            _twice("mart_sales_daily", "date_day", "daily"),
+            *[_missing("mart_sales_daily", c, "daily") for c in ("date_day", "net_revenue", "total_orders")],
+            _twice("mart_customer_lifetime_value", "customer_id", "clv"),
+            *[
+                _missing("mart_customer_lifetime_value", c, "clv")
+                for c in ("customer_id", "customer_lifetime_value", "rfm_segment")
+            ],
+            _outside("mart_customer_lifetime_value", "rfm_segment", "clv", _RFM),
+            _outside("mart_customer_lifetime_value", "customer_value_tier", "clv", _TIERS),
+            _twice("mart_product_performance", "product_id", "perf"),
+            *[
+                _missing("mart_product_performance", c, "perf")
+                for c in ("product_id", "product_name", "total_revenue", "total_profit")
+            ],
+            _outside("mart_product_performance", "sales_velocity", "perf", _VELOCITIES),
+            _outside("mart_product_performance", "inventory_health", "perf", _HEALTH),
+        ]
+    ),
     "check_positive_totals": """
         SELECT order_id, customer_id, order_date, grand_total,
                'Grand total must be positive for completed orders' AS validation_error
-        FROM heads WHERE is_completed AND grand_total <= 0""",
+        FROM enriched WHERE is_completed AND grand_total <= 0""",
     "check_profit_le_revenue": """
         SELECT product_id, product_name, total_revenue, total_profit,
                'Profit cannot exceed revenue' AS validation_error
@@ -452,6 +529,7 @@ MONEY_COLUMNS = {
     "stg_products": _PRODUCT,
     "stg_order_items": "unit_price line_total calculated_line_total line_total_variance",
     "int_orders_enriched": _ORDER,
+    "int_orders_enriched_salted": _ORDER,
     "int_customer_orders": f"{_HEADS} unit_price line_total unit_cost line_profit",
     "mart_sales_daily": _DAILY,
     "mart_customer_lifetime_value": f"{_METRICS} customer_lifetime_value",
@@ -459,6 +537,7 @@ MONEY_COLUMNS = {
     "revenue_trend": "net_revenue",
     "report_last_days": _DAILY,
     "report_tier_segment": "total_revenue",
+    "report_tier_segment_rounded": "total_revenue",
     "report_top_products": f"{_PRODUCT} total_revenue total_profit",
     "join_left_orders_items": "subtotal_amount",
     "agg_order_items": "subtotal_amount",
@@ -479,7 +558,7 @@ MONEY_COLUMNS = {
 def _statement(name: str) -> str:
     steps = ",\n".join(f"{step} AS ({body})" for step, body in STEPS.items())
     shown = [f"{c}::DOUBLE AS {c}" for c in MONEY_COLUMNS.get(name, "").split()]
-    if name in ("stg_order_items", "int_customer_orders", "join_inner_lines"):
+    if name in ("stg_order_items", "int_customer_orders", "join_inner_lines", "join_inner_lines_salted"):
         shown.append("quantity::BIGINT AS quantity")
     replaced = f" REPLACE ({', '.join(shown)})" if shown else ""
     return f"WITH {steps},\nresult AS ({FINAL[name]})\nSELECT *{replaced} FROM result"
