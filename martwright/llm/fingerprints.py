@@ -115,7 +115,7 @@ def with_next(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         F.coalesce(F.col(id_column).cast("long"), F.lit(-(2**63))).alias("key"),
     )
     keys = read.select("key", F.col("key").cast("double").alias("at"))
-    cuts = keys.agg(F.percentile_approx("at", [i / n for i in range(1, n)] or [0.5])).head()[0] or []
+    cuts = keys.agg(F.percentile_approx("at", [i / n for i in range(1, n)] or [0.5])).head()[0] or [0.0]
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     part = Bucketizer(splits=splits, inputCol="at", outputCol="block")
     first = part.transform(keys).groupBy("block").agg(F.max("key").alias("key")).orderBy("block").collect()

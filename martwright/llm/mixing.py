@@ -17,6 +17,8 @@ DOMAINS = ("clean", "junk", "toxic")
 # Labelled documents the classifier is fitted on, chosen by the hash of their id.
 LABELLED = 20_000
 FEATURES = 1 << 14
+# Strength of the pull of the classifier's weights to zero, over the root of the number of labels.
+PULL = 0.17
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,7 @@ def fit_classifier(
     ready = sample
     for stage in stages:
         ready = stage.transform(ready)
+    ready = stored(ready.select("__features", "__domain"), "features")
     fit = LogisticRegression(
         featuresCol="__features",
         labelCol="__domain",
@@ -95,9 +98,11 @@ def fit_classifier(
         rawPredictionCol="__raw",
         predictionCol="__prediction",
         family="multinomial",
-        regParam=0.001,
-        maxIter=40,
-    ).fit(ready.coalesce(1).select("__features", "__domain"))
+        # Few words tell a domain, so weights are drawn to zero, the less so the more labels there are.
+        regParam=PULL / max(1, sample.count()) ** 0.5,
+        elasticNetParam=1.0,
+        maxIter=60,
+    ).fit(ready.coalesce(1))
     return Classifier(PipelineModel([*stages, fit]), DOMAINS[: fit.numClasses])
 
 

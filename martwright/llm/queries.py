@@ -84,4 +84,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+# Links by counting common shingles, then everything that can be reached. The other queries decide by
+# trained models, tokenizers or hashes; their tests compare with plain Python.
+ORACLE_SQL: dict[str, str] = {
+    "op10_minhash_near_dedup": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingled AS (
+            SELECT doc_id, unnest(w[:-2]) AS one, unnest(w[2:]) AS two FROM worded WHERE len(w) > 1
+            UNION ALL
+            SELECT doc_id, w[1], NULL FROM worded WHERE len(w) = 1),
+        sets AS (SELECT DISTINCT * FROM shingled),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY ALL),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+            FROM sets a JOIN sets b
+              ON a.one = b.one AND a.two IS NOT DISTINCT FROM b.two AND a.doc_id <> b.doc_id
+            GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+            WHERE 100 * shared >= 80 * (s.n + t.n - shared)),
+        reached AS (
+            SELECT doc_id AS x, doc_id AS y FROM worded
+            UNION
+            SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+        named AS (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY ALL)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM named LEFT JOIN sizes USING (doc_id)""",
+}
