@@ -16,7 +16,7 @@ from martwright.operators.materialize import shared_folder
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
 # Texts are worked on in pieces of about this many bytes; a longer text is a piece of its own.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -56,7 +56,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     key = "inverse" if inverse else "base"
     known = _powers.get(key)
     if known is None or len(known) < n:
-        known = np.full(max(n, CHUNK_BYTES // 4), _INVERSE if inverse else _BASE, np.uint64)
+        known = np.full(max(n, CHUNK_BYTES), _INVERSE if inverse else _BASE, np.uint64)
         known[0] = 1
         np.multiply.accumulate(known, out=known)
         if len(known) <= 4 * CHUNK_BYTES:

@@ -32,7 +32,7 @@ COLLECTION, SHARDS = 1 << 21, 4
 # An anchor with more bytes of different segments is compared by 128-bit hashes of its windows instead.
 MOST = 1 << 24
 # Documents of one row of entries.
-PACK_DOCS = 1 << 15
+PACK_DOCS = 1 << 12
 
 
 # ---- anchors ----------------------------------------------------------------------------------
@@ -110,12 +110,13 @@ PIECES = _columns("key", "id", "row", "start", "size", "bytes")
 
 def _entries(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Anchors of the texts, packed by bucket; later copies of a segment in the same pack become cuts."""
+    unpress = zstandard.ZstdDecompressor()
     for batch in batches:
         for at in range(0, batch.num_rows, PACK_DOCS):
             part = batch.slice(at, PACK_DOCS)
             ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             rows = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            data, offsets = utf8(part.column(2))
+            data, offsets = utf8(pa.array([unpress.decompress(x.as_py()) for x in part.column(2)], pa.binary()))
             found = []
             for first, _, d, r in chunks(data, offsets):
                 s = segments(d, r, length)
@@ -407,7 +408,7 @@ def remove_repeats(
     )
     # Row numbers must be the same in all that follows, so texts are stored with them.
     pressed = stored(read.mapInArrow(_texts, "id long, row long, z binary"), "texts")
-    entries = _numbered(pressed).mapInArrow(lambda x: _entries(x, length, buckets), ENTRIES)
+    entries = pressed.mapInArrow(lambda x: _entries(x, length, buckets), ENTRIES)
     marks = stored(entries.repartitionById(buckets, F.col("bucket")).mapInArrow(lambda x: _match(x, length), MARKS), "marks")
 
     text_rows = pressed.select("row", F.lit(2).alias("kind"), "id", "z", *[F.lit(None).cast("binary").alias(k) for k in ("start", "end", "key")])
@@ -427,19 +428,6 @@ def remove_repeats(
     return with_texts(runs).select("*", doc).mapInArrow(lambda x: _finish(x, schema), schema)
 
 
-def _numbered(pressed: DataFrame) -> DataFrame:
-    """The stored texts as text again."""
-
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpress = zstandard.ZstdDecompressor()
-        for batch in batches:
-            texts = [unpress.decompress(x.as_py()) for x in batch.column(2)]
-            text = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.record_batch([batch.column(0), batch.column(1), text], names=["id", "row", "text"])
-
-    return pressed.mapInArrow(unpack, "id long, row long, text string")
-
-
 def removed_bytes(
     docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
