@@ -19,23 +19,30 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 # Members of one posting list compared in one task; a longer list is dealt to pairs of such blocks.
 BLOCK = 4096
-# Rounds in which members meet a hub of each list, before all that are still apart are compared.
-HUB_ROUNDS = 3
+# Buckets in which a set's shingles are counted, to bound from below how much two sets differ.
+BUCKETS = 512
+# Members of lists longer than this first meet hubs of the list; shorter lists are compared at once.
+SHORT_LIST = 16
+# Hubs that members meet in each round, before all that are still apart are compared.
+HUB_ROUNDS = (1, 3, 4, 4)
 
 
 @dataclass(frozen=True)
 class Plan:
     """Sizes of the join.
 
-    Two sets of similarity s agree in a coordinate with probability s. With 48 coordinates and 22
-    matches asked for, a pair at 0.8 is missed with a probability near 1e-8. A pair with `matches` equal
-    coordinates shares one among the `prefix` rarest of either side, so only these are posted.
+    Two sets of similarity s agree in a coordinate with probability s. With 64 coordinates and 33
+    matches asked for, a pair at 0.8 is missed with a probability of 1e-7; the first look at 8 bits of
+    half of them, of which 12 must match, misses it with 3e-8. A pair with `matches` equal coordinates
+    shares one among the `prefix` rarest of either side, so only these are posted.
     """
 
     words: int = 5
     percent: int = 80
-    coordinates: int = 48
-    matches: int = 22
+    coordinates: int = 64
+    matches: int = 33
+    quick: int = 32
+    quick_matches: int = 12
 
     @property
     def prefix(self) -> int:
@@ -81,13 +88,32 @@ def _describe(h: np.ndarray, multipliers: np.ndarray) -> tuple[int, int, np.ndar
     return int(one.view(np.int64)), int(two.view(np.int64)), (low >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def _counts(h: np.ndarray) -> bytes:
+    """Shingles per bucket, at most 15 each, two buckets a byte."""
+    n = np.minimum(np.bincount((h % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS), 15).astype(np.uint8)
+    return (n[::2] | n[1::2] << 4).tobytes()
+
+
+def _close(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether bucket counts leave it possible that the sets reach the similarity.
+
+    Two sets differ in at least as many shingles as their bucket counts do, and they reach the
+    similarity only if these are few enough for their sizes. This never rules out a link.
+    """
+    apart = np.zeros(len(one), np.int64)
+    for shift in (0, 4):
+        x, y = (one >> shift & 15).astype(np.int8), (two >> shift & 15).astype(np.int8)
+        apart += np.abs(x - y).sum(axis=1, dtype=np.int64)
+    return apart * (100 + percent) <= (100 - percent) * sizes
+
+
 def shingle_sets(docs: DataFrame, plan: Plan, id_column: str, text_column: str) -> DataFrame:
-    """id, n_shingles, digest (d1, d2) and signature of every text."""
+    """id, n_shingles, digest (d1, d2), signature, its short form and bucket counts of every text."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, rows = utf8(batch.column(1))
-            size, d1, d2, sig = [], [], [], []
+            size, d1, d2, sig, counts = [], [], [], [], []
             for _, _, d, r in chunks(data, rows):
                 h, row = shingles(d, r, plan.words)
                 cuts = np.searchsorted(row, np.arange(len(r)))
@@ -98,7 +124,9 @@ def shingle_sets(docs: DataFrame, plan: Plan, id_column: str, text_column: str)
                     d1.append(one)
                     d2.append(two)
                     sig.append(low)
+                    counts.append(_counts(unique))
             flat = pa.array(np.concatenate(sig) if sig else np.zeros(0, np.int32))
+            short = [(x[: plan.quick] & 0xFF).astype(np.uint8).tobytes() for x in sig]
             offsets = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * plan.coordinates)
             yield pa.record_batch(
                 [
@@ -107,12 +135,14 @@ def shingle_sets(docs: DataFrame, plan: Plan, id_column: str, text_column: str)
                     pa.array(d1, pa.int64()),
                     pa.array(d2, pa.int64()),
                     pa.ListArray.from_arrays(offsets, flat),
+                    pa.array(counts, pa.binary()),
+                    pa.array(short, pa.binary()),
                 ],
-                names=["id", "n", "d1", "d2", "sig"],
+                names=["id", "n", "d1", "d2", "sig", "counts", "short"],
             )
 
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType)])
-    schema = schema.add("n", "long").add("d1", "long").add("d2", "long").add("sig", T.ArrayType(T.IntegerType()))
+    schema = schema.add("n", "long").add("d1", "long").add("d2", "long").add("sig", T.ArrayType(T.IntegerType())).add("counts", "binary").add("short", "binary")
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return read.mapInArrow(describe, schema)
 
@@ -144,26 +174,43 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _bytes(column: pa.Array, width: int) -> np.ndarray:
+    _, _, data = column.buffers()
+    offset = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset]) if len(column) else 0
+    return np.frombuffer(data, np.uint8)[offset : offset + len(column) * width].reshape(-1, width)
+
+
 def alike(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) whose sizes allow the similarity and whose signatures match often enough."""
-    mine = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    yours = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    near = (plan.percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb")).alias("near")
-    joined = pairs.join(mine, "a").join(yours, "b").where(near).select("a", "b", "sa", "sb")
+    """The pairs (a, b) whose sizes and bucket counts allow the similarity and whose signatures match
+    often enough."""
+    both = ("rep", "n", "sig", "counts")
+    mine, yours = (sets.select([F.col(c).alias(f"{side}_{c}") for c in both]) for side in "ab")
+    near = plan.percent * F.greatest("a_n", "b_n") <= 100 * F.least("a_n", "b_n")
+    joined = pairs.join(mine, pairs["a"] == mine["a_rep"]).join(yours, pairs["b"] == yours["b_rep"])
+    joined = joined.where(near).select(
+        "a", "b", "a_sig", "b_sig", "a_counts", "b_counts", (F.col("a_n") + F.col("b_n")).alias("sizes")
+    )
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             equal = _matrix(batch.column(2), plan.coordinates) == _matrix(batch.column(3), plan.coordinates)
-            yield batch.select([0, 1]).filter(pa.array(equal.sum(axis=1) >= plan.matches))
+            counts = [_bytes(batch.column(k), BUCKETS // 2) for k in (4, 5)]
+            close = _close(*counts, batch.column(6).to_numpy(), plan.percent)
+            yield batch.select([0, 1]).filter(pa.array(close & (equal.sum(axis=1) >= plan.matches)))
 
     return joined.mapInArrow(match, pairs.select("a", "b").schema)
 
 
 def hub_pairs(posts: DataFrame, seed: int) -> DataFrame:
-    """Each member of a posting list with the list's hub, where their labels differ."""
-    order: Column = F.struct(F.xxhash64("token", "rep", F.lit(seed)).alias("h"), "rep", "label")
+    """Each member of a long posting list with the list's hub, where their labels differ.
+
+    The hub is the first member in one order of all documents, another one for each seed. So the
+    many lists that like documents share mostly have the same hub, and a member meets few of them.
+    """
+    order: Column = F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep", "label")
+    posts = posts.where(F.col("freq") > SHORT_LIST)
     hubs = posts.groupBy("token").agg(
         F.min(order).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")
     )
@@ -172,18 +219,23 @@ def hub_pairs(posts: DataFrame, seed: int) -> DataFrame:
     return met.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
 
-def cross_pairs(posts: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+def cross_pairs(posts: DataFrame, sets: DataFrame, plan: Plan, whole: bool) -> DataFrame:
     """All pairs with different labels that share a posted value, match often enough and fit in size.
 
-    Members of a list are compared where they stand, block by block; only pairs that match leave the
-    task. Lists whose members have one label are left out. A list longer than BLOCK is dealt to
+    `whole` compares whole signatures and bucket counts, which is for long lists; else the short form
+    of the signatures alone, so that the many short lists move few bytes, and their few matches are
+    left to `alike`.
+
+    Members of a list are compared where they stand, block by block, by signature and then by bucket
+    counts; only pairs that pass both leave the task. Lists whose members have one label are left out. A list longer than BLOCK is dealt to
     pairs of blocks, so no task holds more than two of them.
     """
     mixed = posts.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_posts = posts.join(mixed.where("low <> high").select("token"), "token")
     blocks = F.ceil(F.col("freq") / F.lit(BLOCK)).cast("int")
-    rows = open_posts.join(sets.select("rep", "n", "sig"), "rep").select(
-        "token", "rep", "label", "n", "sig", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), blocks.alias("blocks")
+    sketch = ("sig", "counts") if whole else ("short",)
+    rows = open_posts.join(sets.select("rep", "n", *sketch), "rep").select(
+        "token", "rep", "label", "n", *sketch, F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), blocks.alias("blocks")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.select("*", other).select(
@@ -194,13 +246,17 @@ def cross_pairs(posts: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
         "rep",
         "label",
         "n",
-        "sig",
+        *sketch,
     )
     keys = ["token", "i", "j"]
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         col = {c: table.column(c).combine_chunks() for c in table.column_names}
-        sig = _matrix(col.pop("sig"), plan.coordinates)
+        if whole:
+            sig = _matrix(col.pop("sig"), plan.coordinates)
+            counts = _bytes(col.pop("counts"), BUCKETS // 2)
+        else:
+            sig = _bytes(col.pop("short"), plan.quick)
         c = {k: v.to_numpy(zero_copy_only=False) for k, v in col.items()}
         found_a, found_b = [], []
         at = np.arange(len(sig) - 1)
@@ -213,10 +269,15 @@ def cross_pairs(posts: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
             low, high = np.minimum(c["n"][at], c["n"][to]), np.maximum(c["n"][at], c["n"][to])
             ok &= plan.percent * high <= 100 * low
             x, y = at[ok], to[ok]
-            for k in range(0, len(x), 100_000):
-                part = (sig[x[k : k + 100_000]] == sig[y[k : k + 100_000]]).sum(axis=1) >= plan.matches
-                found_a.append(x[k : k + 100_000][part])
-                found_b.append(y[k : k + 100_000][part])
+            for k in range(0, len(x), 50_000):
+                xs, ys = x[k : k + 50_000], y[k : k + 50_000]
+                part = (sig[xs] == sig[ys]).sum(axis=1) >= (plan.matches if whole else plan.quick_matches)
+                xs, ys = xs[part], ys[part]
+                if whole:
+                    part = _close(counts[xs], counts[ys], c["n"][xs] + c["n"][ys], plan.percent)
+                    xs, ys = xs[part], ys[part]
+                found_a.append(xs)
+                found_b.append(ys)
             step += 1
             at = at[at + step < len(sig)]
         a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
@@ -318,7 +379,7 @@ def near_duplicates(
     classes = stored(full.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "classes")
     keys = ["n", "d1", "d2"]
     reps = full.join(classes, keys).where("id = rep").dropDuplicates(["rep", *keys])
-    reps = reps.select("rep", "n", "sig")
+    reps = reps.select("rep", "n", "sig", "counts", "short")
     posts = stored(postings(reps, plan), "postings")
     posted = posts.select("rep").distinct()
     sets_of = stored(reps.join(posted, "rep", "left_semi"), "signatures")
@@ -341,15 +402,21 @@ def near_duplicates(
         )
 
     met = stored(labelled(links), "met")
-    for seed in range(HUB_ROUNDS):
-        pairs = hub_pairs(met, seed).join(tested, ["a", "b"], "left_anti")
+    seed = 0
+    for hubs in HUB_ROUNDS:
+        pairs = hub_pairs(met, seed)
+        for k in range(1, hubs):
+            pairs = pairs.union(hub_pairs(met, seed + k))
+        pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = stored(alike(pairs, sets_of, plan), "pairs")
         new = stored(confirmed(pairs, texts, plan), "links")
-        tested, links = tested.union(pairs), links.union(new)
+        tested, links, seed = tested.union(pairs), links.union(new), seed + hubs
         if new.isEmpty():
             break
         met = stored(labelled(links), "met")
-    pairs = cross_pairs(met, sets_of, plan).join(tested, ["a", "b"], "left_anti")
+    long = cross_pairs(met.where(F.col("freq") > SHORT_LIST), sets_of, plan, True)
+    short = cross_pairs(met.where(F.col("freq") <= SHORT_LIST), sets_of, plan, False)
+    pairs = long.union(alike(short, sets_of, plan)).distinct().join(tested, ["a", "b"], "left_anti")
     new = stored(confirmed(stored(pairs, "pairs"), texts, plan), "links")
     labels = components(links.union(new))
 
