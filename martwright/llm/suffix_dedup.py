@@ -6,6 +6,9 @@ independent tasks. A segment is a run of windows that share an anchor. Anchors t
 done. Of segments with equal bytes the first stays for comparison and the others are removed whole. What
 remains, different segments around a common anchor, is sorted in shards whose transforms are merged up
 to `length` symbols; each repeated interval keeps its first window.
+
+Anchors that a sample shows to be hot are never gathered: their windows are dealt by their own hash, after
+each pack of texts has kept its first window of every hash.
 """
 
 from __future__ import annotations
@@ -33,6 +36,11 @@ COLLECTION, SHARDS = 1 << 21, 4
 MOST = 1 << 24
 # Documents of one row of entries.
 PACK_DOCS = 1 << 12
+# One text in RATE is looked at for hot anchors, of longer texts than LONG one slice in RATE. An anchor with
+# HOT different segments there (about 16,000 in all) is hot. This changes who compares, not the result.
+RATE, LONG, SLICE, HOT = 16, 1 << 20, 1 << 16, 1000
+# Windows of hot anchors sorted at once.
+WINDOWS = 1 << 20
 
 
 # ---- anchors ----------------------------------------------------------------------------------
@@ -101,58 +109,166 @@ def _columns(*names: str) -> T.StructType:
 
 
 ENTRY = {"key": "<i8", "content": "<u8", "doc": "<u2", "first": "<u4", "count": "<u1"}
-ENTRIES = _columns(*ENTRY, "ids", "rows", "cut_row", "cut_start", "cut_end")
+# Windows of hot anchors: two hashes, the document and the place.
+WINDOW = {"one": "<u8", "two": "<u8", "w_id": "<i8", "w_row": "<i8", "place": "<i8"}
+CUT = ("cut_row", "cut_start", "cut_end")
+ENTRIES = _columns(*ENTRY, "ids", "rows", *CUT, *WINDOW)
 # Per document: wanted segments (kind 0) or removed runs (kind 1).
 MARKS = T.StructType([T.StructField("row", T.LongType()), T.StructField("kind", T.IntegerType())])
 MARKS = MARKS.add("start", "binary").add("end", "binary").add("key", "binary")
 PIECES = _columns("key", "id", "row", "start", "size", "bytes")
 
 
-def _entries(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Anchors of the texts, packed by bucket; later copies of a segment in the same pack become cuts."""
+def _hot(batches: Iterator[pa.RecordBatch], length: int, rate: int) -> Iterator[pa.RecordBatch]:
+    """From a sample of the texts: anchors and the number of their different segments in a batch."""
+    unpress = zstandard.ZstdDecompressor()
+    for batch in batches:
+        rows = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
+        chosen = mix(rows + np.uint64(1)) % np.uint64(rate) == 0
+        texts = []
+        for z, whole in zip(batch.column(1), chosen.tolist(), strict=True):
+            z = z.as_py()
+            if zstandard.frame_content_size(z) > LONG:
+                text = unpress.decompress(z)
+                texts += [text[a : a + SLICE] for a in range(0, len(text), SLICE * rate)]
+            elif whole:
+                texts.append(unpress.decompress(z))
+        data, offsets = utf8(pa.array(texts, pa.binary()))
+        found = [segments(d, r, length) for _, _, d, r in chunks(data, offsets)]
+        if not found:
+            continue
+        pairs = np.stack([np.concatenate([getattr(x, k) for x in found]) for k in ("anchor", "content")])
+        anchor, number = np.unique(np.unique(pairs, axis=1)[0], return_counts=True)
+        some = number > 1
+        yield pa.record_batch([pa.array(anchor[some].view(np.int64)), pa.array(number[some])], names=["anchor", "n"])
+
+
+def hot_anchors(pressed: DataFrame, length: int, rate: int, hot: int) -> np.ndarray:
+    """Anchors with at least `hot` different segments in the sample, sorted; at most its segments / `hot`."""
+    seen = pressed.select("row", "z").mapInArrow(lambda x: _hot(x, length, rate), "anchor long, n long")
+    found = seen.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= hot).select("anchor").collect()
+    return np.sort(np.array([r["anchor"] for r in found], np.int64).view(np.uint64))
+
+
+def _take(s: Segments, which: np.ndarray) -> Segments:
+    return Segments(*[getattr(s, f.name)[which] for f in fields(Segments)])
+
+
+def _two_hashes(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    one = range_hash(prefix_hash(data), at, at + length)
+    two = range_hash(prefix_hash(np.bitwise_xor(data, np.uint8(0x5A))), at, at + length)
+    return one, mix(two)
+
+
+def _windows(data: np.ndarray, rows: np.ndarray, s: Segments, length: int) -> dict[str, np.ndarray]:
+    """The windows of the segments of a chunk: hashes, row and place."""
+    count = s.last - s.first + 1
+    string = np.repeat(np.arange(len(count)), count)
+    place = s.first[string] + np.arange(len(string)) - np.repeat(np.cumsum(count) - count, count)
+    row = s.row[string]
+    one, two = _two_hashes(data, rows[row] + place, length)
+    return {"one": one, "two": two, "row": row, "place": place}
+
+
+def _first_windows(w: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """The first window of each pair of hashes, and the others as runs to cut."""
+    order = np.lexsort((w["place"], w["w_row"], w["w_id"], w["two"], w["one"]))
+    again = np.zeros(len(order), bool)
+    again[1:] = (w["one"][order][1:] == w["one"][order][:-1]) & (w["two"][order][1:] == w["two"][order][:-1])
+    later = order[again]
+    later = later[np.lexsort((w["place"][later], w["w_row"][later]))]
+    row, place = w["w_row"][later], w["place"][later]
+    opens = np.ones(len(later), bool)
+    opens[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)
+    head = np.flatnonzero(opens)
+    tail = np.append(head[1:], len(later))[: len(head)] - 1
+    cuts = {"cut_row": row[head], "cut_start": place[head], "cut_end": place[tail]}
+    return {k: v[order[~again]] for k, v in w.items()}, cuts
+
+
+def _dealt(parts: list[tuple[np.ndarray, dict[str, np.ndarray]]], buckets: int) -> list[dict]:
+    """Rows of ENTRIES: arrays, each group of them dealt to buckets by its own numbers; the rest is empty."""
+    out: dict[int, dict] = {}
+    for bucket, arrays in parts:
+        by = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            own = by[edges[b] : edges[b + 1]]
+            row = out.setdefault(b, dict.fromkeys(ENTRIES.fieldNames(), b"") | {"bucket": b})
+            row |= _pack({k: v[own] for k, v in arrays.items()})
+    return list(out.values())
+
+
+def _entries(
+    batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Anchors of the texts, packed by bucket; later copies of a segment in the same pack become cuts.
+
+    Of hot anchors the windows are given in place of segments. Cuts are dealt by document.
+    """
     unpress = zstandard.ZstdDecompressor()
+    hot = np.zeros(0, np.uint64) if hot is None else hot
+    modulo = lambda x: (x % np.uint64(buckets)).astype(np.int32)
+
+    def window_rows(held: list[dict[str, np.ndarray]], ids: np.ndarray, rows: np.ndarray) -> list[dict]:
+        w = {k: np.concatenate([x[k] for x in held]) for k in held[0]}
+        row = w.pop("row")
+        w |= {"w_id": ids[row], "w_row": rows[row]}
+        first, cuts = _first_windows(w)
+        cuts["cut_end"] = cuts["cut_end"] + length
+        parts = [(modulo(first["one"]), first), (modulo(cuts["cut_row"].view(np.uint64)), cuts)]
+        return _dealt(parts, buckets)
+
     for batch in batches:
         for at in range(0, batch.num_rows, PACK_DOCS):
             part = batch.slice(at, PACK_DOCS)
             ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             rows = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = utf8(pa.array([unpress.decompress(x.as_py()) for x in part.column(2)], pa.binary()))
-            found = []
+            found, held, size = [], [], 0
             for first, _, d, r in chunks(data, offsets):
                 s = segments(d, r, length)
+                if len(hot):
+                    spread = np.isin(s.anchor, hot)
+                    if spread.any():
+                        w = _windows(d, r, _take(s, spread), length)
+                        w["row"] = w["row"] + first
+                        held.append(w)
+                        size += len(w["row"])
+                        s = _take(s, ~spread)
+                        if size >= WINDOWS:
+                            yield _batch(window_rows(held, ids, rows), ENTRIES)
+                            held, size = [], 0
                 s.row += first
                 found.append(s)
+            if held:
+                yield _batch(window_rows(held, ids, rows), ENTRIES)
             s = Segments(*[np.concatenate([getattr(x, f.name) for x in found]) for f in fields(Segments)])
-            order = np.lexsort((s.first, rows[s.row], ids[s.row], s.content, s.anchor))
-            s = Segments(*[getattr(s, f.name)[order] for f in fields(Segments)])
-            again = np.zeros(len(order), bool)
+            s = _take(s, np.lexsort((s.first, rows[s.row], ids[s.row], s.content, s.anchor)))
+            again = np.zeros(len(s.anchor), bool)
             again[1:] = (s.anchor[1:] == s.anchor[:-1]) & (s.content[1:] == s.content[:-1])
-            bucket = (s.anchor % np.uint64(buckets)).astype(np.int32)
+            old, s = _take(s, again), _take(s, ~again)
+            cuts = {"cut_row": rows[old.row], "cut_start": old.first, "cut_end": old.last + length}
+            out = {x["bucket"]: x for x in _dealt([(modulo(cuts["cut_row"].view(np.uint64)), cuts)], buckets)}
+            bucket = modulo(s.anchor)
             by = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            out = []
-            for b in np.flatnonzero(np.diff(edges)):
-                own = by[edges[b] : edges[b + 1]]
-                old, new = own[again[own]], own[~again[own]]
+            for b in np.flatnonzero(np.diff(edges)).tolist():
+                new = by[edges[b] : edges[b + 1]]
                 known, doc = np.unique(s.row[new], return_inverse=True)
-                out.append(
-                    {"bucket": int(b)}
-                    | _pack(
-                        {
-                            "key": s.anchor[new].view(np.int64),
-                            "content": s.content[new],
-                            "doc": doc.astype("<u2"),
-                            "first": s.first[new].astype("<u4"),
-                            "count": (s.last - s.first)[new].astype("<u1"),
-                            "ids": ids[known],
-                            "rows": rows[known],
-                            "cut_row": rows[s.row[old]],
-                            "cut_start": s.first[old].astype("<i8"),
-                            "cut_end": s.last[old].astype("<i8") + length,
-                        }
-                    )
+                row = out.setdefault(b, dict.fromkeys(ENTRIES.fieldNames(), b"") | {"bucket": b})
+                row |= _pack(
+                    {
+                        "key": s.anchor[new].view(np.int64),
+                        "content": s.content[new],
+                        "doc": doc.astype("<u2"),
+                        "first": s.first[new].astype("<u4"),
+                        "count": (s.last - s.first)[new].astype("<u1"),
+                        "ids": ids[known],
+                        "rows": rows[known],
+                    }
                 )
-            yield _batch(out, ENTRIES)
+            yield _batch(list(out.values()), ENTRIES)
 
 
 def _marks(
@@ -183,19 +299,35 @@ def _marks(
 
 
 def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Entries of a bucket: copies of a segment are removed, different ones of one anchor wanted."""
-    held: dict[str, list] = {k: [] for k in (*ENTRY, "id", "row", "cut_row", "cut_start", "cut_end")}
+    """Entries of a bucket: copies of a segment are removed, different ones of one anchor wanted.
+
+    Cuts pass through. Of windows with equal hashes the first stays.
+    """
+    held: dict[str, list] = {k: [] for k in (*ENTRY, "id", "row", *WINDOW)}
     for batch in batches:
+        passed: list[list] = [[], [], []]
         for x in batch.to_pylist():
-            arrays = {k: np.frombuffer(x[k], t) for k, t in ENTRY.items()}
+            arrays = {k: np.frombuffer(x[k], t) for k, t in (ENTRY | WINDOW).items()}
             for k, v in arrays.items():
                 held[k].append(v)
             held["id"].append(np.frombuffer(x["ids"], "<i8")[arrays["doc"]])
             held["row"].append(np.frombuffer(x["rows"], "<i8")[arrays["doc"]])
-            for k in ("cut_row", "cut_start", "cut_end"):
-                held[k].append(np.frombuffer(x[k], "<i8"))
+            for k, column in zip(CUT, passed, strict=True):
+                column.append(np.frombuffer(x[k], "<i8"))
+        if any(map(len, passed[0])):
+            yield _batch(_marks(*map(np.concatenate, passed)), MARKS)
     if not held["key"]:
         return
+    w = {k: np.concatenate(held.pop(k)) for k in WINDOW}
+    # Equal windows are in the same share of the bucket, so that little more than one is sorted at once.
+    shares = len(w["one"]) // WINDOWS + 1
+    share = (w["one"] >> np.uint64(40)) % np.uint64(shares)
+    for k in range(shares if len(share) else 0):
+        _, cuts = _first_windows({name: v[share == k] for name, v in w.items()})
+        out = _marks(cuts["cut_row"], cuts["cut_start"], cuts["cut_end"] + length)
+        for at in range(0, len(out), 10_000):
+            yield _batch(out[at : at + 10_000], MARKS)
+    del w, share
     c = {k: np.concatenate(held.pop(k)) for k in list(held)}
     sorted_keys = np.sort(c["key"])
     twice = np.unique(sorted_keys[1:][sorted_keys[1:] == sorted_keys[:-1]])
@@ -210,12 +342,11 @@ def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     copy[1:] &= e["content"][1:] == e["content"][:-1]
     start = e["first"].astype(np.int64)
     end = start + e["count"] + length
-    cut = [np.concatenate([x[copy], c[k]]) for x, k in ((e["row"], "cut_row"), (start, "cut_start"), (end, "cut_end"))]
     # Anchors whose first segments differ.
     head = np.flatnonzero(~copy)
     keys, number = np.unique(e["key"][head], return_counts=True)
     many = head[number[np.searchsorted(keys, e["key"][head])] > 1]
-    out = _marks(*cut) + _marks(e["row"][many], start[many], end[many], e["key"][many])
+    out = _marks(e["row"][copy], start[copy], end[copy]) + _marks(e["row"][many], start[many], end[many], e["key"][many])
     for at in range(0, len(out), 10_000):
         yield _batch(out[at : at + 10_000], MARKS)
 
@@ -300,10 +431,9 @@ def _hashed_windows(
     string = np.repeat(np.arange(len(starts)), count)
     offset = np.arange(len(string)) - np.repeat(np.cumsum(count) - count, count)
     at = starts[string] + offset
-    one = range_hash(prefix_hash(data), at, at + length)
-    two = range_hash(prefix_hash(np.bitwise_xor(data, np.uint8(0x5A))), at, at + length)
+    one, two = _two_hashes(data, at, length)
     when = order[string] + offset
-    by = np.lexsort((when, mix(two), one))
+    by = np.lexsort((when, two, one))
     later = np.zeros(len(by), bool)
     later[1:] = (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1])
     return string[by[later]], offset[by[later]]
@@ -386,7 +516,12 @@ def _finish(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> Iterator
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    length: int = 100,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    rate: int = RATE,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept (binary), starts and ends of removed runs.
 
@@ -395,7 +530,8 @@ def remove_repeats(
     matches never cross documents. `length` is a multiple of 4, up to 287. Ids are whole numbers.
 
     A null text is empty. Rows with one id count in the order in which they are read, a null id comes
-    before all others. An empty table gives no rows; only the two named columns are read.
+    before all others. An empty table gives no rows; only the two named columns are read. `rate` and `hot`
+    say which anchors are spread over tasks window by window; they never change the result.
     """
     if length % STEP or not GRAM <= length <= GRAM + 255:
         raise ValueError(f"length must be a multiple of {STEP} from {GRAM} to {GRAM + 255}")
@@ -408,7 +544,8 @@ def remove_repeats(
     )
     # Row numbers must be the same in all that follows, so texts are stored with them.
     pressed = stored(read.mapInArrow(_texts, "id long, row long, z binary"), "texts")
-    entries = pressed.mapInArrow(lambda x: _entries(x, length, buckets), ENTRIES)
+    spread = hot_anchors(pressed, length, rate, hot)
+    entries = pressed.mapInArrow(lambda x: _entries(x, length, buckets, spread), ENTRIES)
     marks = stored(entries.repartitionById(buckets, F.col("bucket")).mapInArrow(lambda x: _match(x, length), MARKS), "marks")
 
     text_rows = pressed.select("row", F.lit(2).alias("kind"), "id", "z", *[F.lit(None).cast("binary").alias(k) for k in ("start", "end", "key")])
@@ -429,10 +566,15 @@ def remove_repeats(
 
 
 def removed_bytes(
-    docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    length: int = 100,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    rate: int = RATE,
+    hot: int = HOT,
 ) -> DataFrame:
     """`remove_repeats` with the SHA-256 of the remaining bytes in place of the bytes."""
-    found = remove_repeats(docs, length, id_column, text_column)
+    found = remove_repeats(docs, length, id_column, text_column, rate, hot)
     return found.select(
         id_column, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "starts", "ends"
     )
