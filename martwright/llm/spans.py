@@ -18,9 +18,31 @@ AROUND = 64
 _CUT = "array<struct<kind:string,i:int,size:bigint,match:string,before:string,after:string>>"
 
 
-def _cuts(kind: str, parts: Column) -> Column:
-    """Of each part of a text that begins with a match: place, length, match, and what stands around it."""
-    rest = lambda part: F.substring_index(part, CLOSE, -1)
+def _edges(parts: Column) -> tuple[Column, Column]:
+    """The last and the first AROUND characters of each part, without marks."""
+    plain = lambda part: F.translate(part, CLOSE, "")
+    last = F.transform(parts, lambda part: F.right(plain(part), F.lit(AROUND)))
+    return last, F.transform(parts, lambda part: F.left(plain(part), F.lit(AROUND)))
+
+
+def _cuts(kind: str, parts: Column, last: Column, first: Column) -> Column:
+    """Of each part of a text that begins with a match: place, length, match, and what stands around it.
+
+    What stands around goes on through other matches. Parts but the first hold a character or more, so
+    AROUND parts are enough.
+    """
+    rest = lambda part: F.left(F.substring_index(part, CLOSE, -1), F.lit(AROUND))
+
+    def before(i: Column) -> Column:
+        near = F.get(last, i - 1)
+        begin = F.greatest(i - AROUND, F.lit(0))
+        more = F.right(F.array_join(F.slice(last, begin + 1, i - begin), ""), F.lit(AROUND))
+        return F.when(F.length(near) >= AROUND, near).otherwise(more)
+
+    def after(part: Column, i: Column) -> Column:
+        near = rest(part)
+        more = F.left(F.concat(near, F.array_join(F.slice(first, i + 2, F.lit(AROUND)), "")), F.lit(AROUND))
+        return F.when(F.length(near) >= AROUND, near).otherwise(more)
 
     def cut(part: Column, i: Column) -> Column:
         return F.struct(
@@ -28,8 +50,8 @@ def _cuts(kind: str, parts: Column) -> Column:
             i.alias("i"),
             (F.length(part) - F.when(i > 0, 1).otherwise(0)).cast("long").alias("size"),
             F.when(i > 0, F.substring_index(part, CLOSE, 1)).alias("match"),
-            F.when(i > 0, F.right(rest(F.get(parts, i - 1)), F.lit(AROUND))).alias("before"),
-            F.when(i > 0, F.left(rest(part), F.lit(AROUND))).alias("after"),
+            F.when(i > 0, before(i)).alias("before"),
+            F.when(i > 0, after(part, i)).alias("after"),
         )
 
     return F.when(F.size(parts) > 1, F.transform(parts, cut))
@@ -59,8 +81,9 @@ def matches(
         cut = F.split(F.regexp_replace("text", pattern, f"{OPEN}$0{CLOSE}"), OPEN, -1)
         parts[kind] = F.when(F.contains("text", F.lit(hints[kind])), cut) if kind in hints else cut
     none = F.array().cast(_CUT)
-    lists = [F.coalesce(_cuts(kind, F.col(kind)), none) for kind in patterns]
-    cuts = read.withColumns(parts).select("id", "h", "row", F.explode(F.concat(*lists)).alias("cut"))
+    around = {f"{kind}_{k}": edge for kind in patterns for k, edge in enumerate(_edges(F.col(kind)))}
+    lists = [F.coalesce(_cuts(kind, *map(F.col, (kind, f"{kind}_0", f"{kind}_1"))), none) for kind in patterns]
+    cuts = read.withColumns(parts).withColumns(around).select("id", "h", "row", F.explode(F.concat(*lists)).alias("cut"))
     order = Window.partitionBy("row", "cut.kind").orderBy("cut.i")
     start = F.sum("cut.size").over(order.rowsBetween(Window.unboundedPreceding, -1))
     found = cuts.withColumn("start", start).where("cut.i > 0").select("id", "h", "start", "cut.*")

@@ -11,6 +11,7 @@ from conftest import rows
 from samples import awkward, empty, no_labels, shared, shared_labels  # noqa: F401
 
 from martwright.llm import suffix_dedup
+from martwright.llm.spans import matches
 from martwright.llm.suffix_dedup import removed_bytes
 
 PASSAGE = "".join(random.Random(0).choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300))
@@ -58,3 +59,14 @@ def test_no_bucket_gets_a_whole_hot_anchor():
     for x in out:
         windows[x["bucket"]] += len(x["one"]) // 8
     assert windows.sum() > 200 and windows.max() < 2 * windows.mean()
+
+
+def test_surroundings_go_on_through_other_matches(spark):
+    text = "x" * 70 + ' AWS_SECRET_ACCESS_KEY = "wJalrXUtnFEMIK7MDENGbPxR" 12 AAAAAAAAAAAAAAAA ' + "b" * 20 + " end"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = matches(df, {"run": "[A-Za-z0-9_]{16,}+"}, {}, ".").collect()
+    assert len(found) == 5
+    for r in found:
+        assert r["match"] == text[r["start"] : r["end"]]
+        assert r["before"] == text[max(0, r["start"] - 64) : r["start"]]
+        assert r["after"] == text[r["end"] : r["end"] + 64]
