@@ -12,15 +12,25 @@ from pyspark.sql import functions as F
 from martwright.llm.common import stored
 from martwright.llm.spans import matches
 
-# Long unbroken runs of the characters that keys and encoded bytes are written in.
-_CHARACTER = "[A-Za-z0-9+/=_-]"
-CANDIDATE = rf"(?<!{_CHARACTER}){_CHARACTER}{{16,}}+"
+# Long unbroken runs of the characters that keys and encoded bytes are written in. An equals sign is padding
+# at the end; one in front of a value ends a name, as does one in front of a quote unless a quote stands
+# in front of the run too.
+_CHARACTER = "[A-Za-z0-9+/_-]"
+_PADDING = rf"(?:={{1,2}}+(?!{_CHARACTER}|[=\"'`]))?+"
+_QUOTED_PADDING = rf"(?:={{1,2}}+(?!{_CHARACTER}|=))?+"
+CANDIDATE = rf"(?<!{_CHARACTER})(?:(?<=[\"'`]){_CHARACTER}{{16,}}+{_QUOTED_PADDING}|{_CHARACTER}{{16,}}+{_PADDING})"
 # Labelled findings the forest is fitted on, chosen by hash, and its size.
 LABELLED, TREES, DEPTH, SEED = 20_000, 30, 6, 17
 # Words of the dictionary: the most frequent ones of the whole corpus.
 DICTIONARY = 4096
 # Words that announce a credential, key formats, and words of paths that hold examples.
-ANNOUNCING = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth)"
+ANNOUNCING = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|aws[_-]?key|credential|bearer|auth)"
+# What follows such a word, "=" or ":" is a candidate of any length: all of it inside quotes, otherwise up to a
+# blank, without closing punctuation.
+ASSIGNED = (
+    ANNOUNCING.replace("(?i)(", "((?i:").replace("passw(or)?d", "passw(?:or)?d")
+    + r"""\w*+["'`]?\s*+[=:]\s*+(?:(?i:bearer|basic)\s++)?["'`]?+)((?<=["'`])[^\s"'`]++|[^\s"'`]*[^\s"'`,;)\]}.])"""
+)
 FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{16,})"
 EXAMPLES = r"(?i)(test|example|sample|fixture|mock|doc)"
 FEATURES = (
@@ -61,7 +71,12 @@ def findings(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str | None = "source"
 ) -> DataFrame:
     """Candidates with their place and surroundings; path is empty without a path column."""
-    found = matches(docs, {"secret": CANDIDATE}, {}, CANDIDATE, id_column, text_column).drop("kind")
+    patterns = {"run": CANDIDATE, "assigned": ASSIGNED}
+    found = matches(docs, patterns, {}, f"{CANDIDATE}|{ANNOUNCING}", id_column, text_column, ("assigned",))
+    # A run at the start of an assigned value is the same candidate; the longer one holds all of it.
+    columns = ("end", "match", "before", "after")
+    found = found.groupBy("id", "h", "start").agg(F.max_by(F.struct(*columns), "end").alias("found"))
+    found = found.select("id", "h", "start", *[f"found.{c}" for c in columns])
     if path_column is None:
         return found.withColumn("path", F.lit(""))
     h = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
@@ -81,7 +96,7 @@ def features(found: DataFrame, triples: list[str]) -> DataFrame:
     classes = F.regexp_replace(classes, r"[^aA0]", "-")
     runs = F.length(F.regexp_replace(classes, r"(.)\1*+", "x"))
     known = F.array(*map(F.lit, triples)) if triples else F.array().cast("array<string>")
-    parts = F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.lower(F.substring(match, i, F.lit(3))))
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.lower(F.substring(match, i, F.lit(3))))
     # A map lookup; array_contains would walk the whole dictionary.
     table = F.map_from_arrays(known, F.transform(known, lambda x: F.lit(1)))
     inside = F.size(F.filter(parts, lambda x: F.map_contains_key(table, x))) / F.size(parts)
@@ -110,14 +125,16 @@ def features(found: DataFrame, triples: list[str]) -> DataFrame:
 def label_findings(found: DataFrame) -> DataFrame:
     """Findings whose nature their form gives away, with a label; the others are left out.
 
-    1: a known key format, or a run with digits and letters that is assigned to a credential's name.
-    0: a run of letters alone, a number alone, or a path of plain words.
+    1: a known key format, or a value of 8 or more characters with digits and letters that is assigned to a
+    credential's name. 0: a run of letters alone, a number alone, a path of plain words, or a word that
+    goes on in prose behind such a name.
     """
     match = F.col("match")
-    named = F.col("before").rlike(ANNOUNCING + r"\w*[\"']?\s*[=:]\s*[\"']?$")
-    varied = match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (F.length("match") >= 20)
+    named = F.col("before").rlike(ANNOUNCING + r"\w*[\"'`]?\s*[=:]\s*((?i:bearer|basic)\s+)?[\"'`]?$")
+    varied = match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (F.length("match") >= 8)
     plain = match.rlike("^[A-Za-z]+$") | match.rlike("^[0-9]+$") | match.rlike("^[a-z]+([/_-][a-z]+)+$")
-    label = F.when(match.rlike(FORMATS) | (named & varied), 1.0).when(plain & ~named, 0.0)
+    prose = match.rlike("^[A-Za-z]+$") & (F.col("quoted") == 0) & (F.col("word_behind") == 1)
+    label = F.when(match.rlike(FORMATS) | (named & varied), 1.0).when((plain & ~named) | prose, 0.0)
     return found.withColumn("label", label).where("label is not null")
 
 

@@ -64,12 +64,15 @@ def matches(
     any_of: str,
     id_column: str = "doc_id",
     text_column: str = "text",
+    marked: tuple[str, ...] = (),
 ) -> DataFrame:
     """id, h, kind, start, end, match, before, after of every match of every pattern.
 
     Places are code points, the end is exclusive. h is the hash of the text and tells texts of one id
     apart; matches of repeated rows are given once. A pattern is only tried where the text contains its
     hint, and all only where the text matches `any_of`. Null texts are empty.
+    `marked` names kinds whose match is the second group of the pattern; the first group is what stands
+    in front of it, and the pattern has nothing else.
     """
     text = F.translate(whole_text(text_column), OPEN + CLOSE, NEITHER + NEITHER)
     read = docs.select(
@@ -78,7 +81,8 @@ def matches(
     # The row number only holds the cuts of one row together, within this one shuffle.
     parts = {"row": F.monotonically_increasing_id()}
     for kind, pattern in patterns.items():
-        cut = F.split(F.regexp_replace("text", pattern, f"{OPEN}$0{CLOSE}"), OPEN, -1)
+        shown = f"$1{OPEN}$2{CLOSE}" if kind in marked else f"{OPEN}$0{CLOSE}"
+        cut = F.split(F.regexp_replace("text", pattern, shown), OPEN, -1)
         parts[kind] = F.when(F.contains("text", F.lit(hints[kind])), cut) if kind in hints else cut
     none = F.array().cast(_CUT)
     around = {f"{kind}_{k}": edge for kind in patterns for k, edge in enumerate(_edges(F.col(kind)))}

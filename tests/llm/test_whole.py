@@ -11,6 +11,7 @@ from conftest import rows
 from samples import awkward, empty, no_labels, shared, shared_labels  # noqa: F401
 
 from martwright.llm import suffix_dedup
+from martwright.llm.secrets import features, findings, label_findings
 from martwright.llm.spans import matches
 from martwright.llm.suffix_dedup import removed_bytes
 
@@ -70,3 +71,29 @@ def test_surroundings_go_on_through_other_matches(spark):
         assert r["match"] == text[r["start"] : r["end"]]
         assert r["before"] == text[max(0, r["start"] - 64) : r["start"]]
         assert r["after"] == text[r["end"] : r["end"] + 64]
+
+
+def test_names_and_short_values_of_secrets(spark):
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY12"
+    texts = [
+        (f"AWS_KEY={key} end", [key]),
+        (f'AWS_SECRET_ACCESS_KEY = "{key}"', ["AWS_SECRET_ACCESS_KEY", key]),
+        (f'AWS_SECRET_ACCESS_KEY="{key}="', ["AWS_SECRET_ACCESS_KEY", key + "="]),
+        (f'blob "{key}==" end', [key + "=="]),
+        ('password = "hunter2!x", next', ["hunter2!x"]),
+        ("pwd: ab1!cd2; next", ["ab1!cd2"]),
+        (f"Authorization: Bearer {key}.x9", [key + ".x9"]),
+        (f"token = {key}!x9", [key + "!x9"]),
+        ("nothing here", []),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    found = findings(df, path_column=None)
+    got = {}
+    for r in found.orderBy("id", "start").collect():
+        got.setdefault(r["id"], []).append(r["match"])
+        assert texts[r["id"]][0][r["start"] : r["end"]] == r["match"]
+    assert [got.get(i, []) for i in range(len(texts))] == [want for _, want in texts]
+    told = {(r["id"], r["match"]): r for r in label_findings(features(found, [])).collect()}
+    for i in (0, 1, 4, 6, 7):
+        r = told[i, texts[i][1][-1]]
+        assert r["label"] == 1.0 and r["announced"] == 1.0
