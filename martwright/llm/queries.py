@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martwright.llm.common import table
 
@@ -72,6 +73,16 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), Plan(words=2))
 
 
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.byte_bpe import decode, encode
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return decode(found, path, public_tokenizers.PATTERN).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -83,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pii": op9_pii,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 # Links by counting common shingles, then everything that can be reached. The other queries decide by
 # trained models, tokenizers or hashes; their tests compare with plain Python.
