@@ -83,6 +83,13 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.alignment import align, link_statistics
+
+    a, b = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return link_statistics(align(table(spark, folder, "documents"), a, b))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_document_fingerprints": op2_document_fingerprints,
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_token_alignment": op13_token_alignment,
 }
 # Links by counting common shingles, then everything that can be reached. The other queries decide by
 # trained models, tokenizers or hashes; their tests compare with plain Python.
