@@ -73,6 +73,12 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), Plan(words=2))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    from martwright.llm.ranked import build_index, ranked_search
+
+    return ranked_search(build_index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     from martwright.llm.byte_bpe import decode, encode
 
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pii": op9_pii,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_token_alignment": op13_token_alignment,
 }
@@ -134,4 +141,31 @@ ORACLE_SQL: dict[str, str] = {
         named AS (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY ALL)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM named LEFT JOIN sizes USING (doc_id)""",
+    "op11_ranked_search": r"""
+        WITH cut AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        postings AS (SELECT doc_id, term, count(*) AS tf FROM cut GROUP BY ALL),
+        lengths AS (SELECT doc_id, sum(tf)::BIGINT AS size FROM postings GROUP BY ALL),
+        totals AS (SELECT count(*) AS documents, sum(size)::BIGINT AS terms FROM lengths),
+        held AS (SELECT term, count(*) AS df FROM postings GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * df + 1)))::BIGINT AS w FROM held, totals),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        scored AS (
+            SELECT item_id, doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * documents) // terms))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (doc_id), totals
+            GROUP BY ALL),
+        ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+                doc_id, score
+            FROM scored WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 10""",
 }
