@@ -26,6 +26,8 @@ from martwright.llm.tokens import BYTES, UNUSUAL, Remembered, Vocabulary
 RUN = 1 << 21
 # Pairs of ids whose counts are looked up in a broadcast table; the rest meets by a shuffle.
 FREQUENT = 1 << 18
+# Pre-tokens whose ids a process remembers.
+REMEMBERED = 1 << 17
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -39,7 +41,7 @@ class ByteLevelSide:
         v = self.vocabulary = Vocabulary(path)
         v.tokenizer.encode_special_tokens = True
         self.splitter = Splitter(v.pattern.pattern)
-        self.known = Remembered(lambda piece: np.array(v.merge(piece), "<u4").tobytes())
+        self.known = Remembered(lambda piece: np.array(v.merge(piece), "<u4").tobytes(), REMEMBERED)
         strings = v.tokenizer.get_vocab(with_added_tokens=True)
         self.strings = [b""] * (max(strings.values(), default=-1) + 1)
         for token, number in strings.items():
@@ -148,6 +150,20 @@ def groups(text: str, a: np.ndarray, b: np.ndarray, a_strings: Sequence[bytes],
 # ---- all documents --------------------------------------------------------------------------
 
 
+def _aligned(
+    batches: Iterator[pa.RecordBatch], a_path: str, b_path: str
+) -> Iterator[tuple[pa.Array, list[Groups]]]:
+    """Ids and groups of the texts of batches (id, text), about RUN characters a time."""
+    a_side, b_side = _side(a_path), _side(b_path)
+    for batch in batches:
+        for first, texts in runs_of_texts(batch.column(1), RUN):
+            found = [
+                groups(text, a, b, a_side.strings, b_side.strings)
+                for text, a, b in zip(texts, a_side.ids(texts), b_side.ids(texts))
+            ]
+            yield batch.column(0).slice(first, len(texts)), found
+
+
 def align(
     docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -165,22 +181,12 @@ def align(
     Repeated rows and null ids each give their own row; an empty table gives no rows. Only the two
     named columns are read, so others never clash.
     """
-    lists = T.ArrayType(T.IntegerType(), False)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_side, b_side = _side(a_path), _side(b_path)
-        for batch in batches:
-            for first, texts in runs_of_texts(batch.column(1), RUN):
-                found = [
-                    groups(text, a, b, a_side.strings, b_side.strings)
-                    for text, a, b in zip(texts, a_side.ids(texts), b_side.ids(texts))
-                ]
-                columns = [[getattr(g, name) for g in found] for name in ("a", "b", "a_cuts", "b_cuts")]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), *(_lists(c) for c in columns)],
-                    names=["id", "a", "b", "a_cuts", "b_cuts"],
-                )
+        for ids, found in _aligned(batches, a_path, b_path):
+            columns = [_lists([getattr(g, name) for g in found]) for name in ("a", "b", "a_cuts", "b_cuts")]
+            yield pa.RecordBatch.from_arrays([ids, *columns], names=["id", "a", "b", "a_cuts", "b_cuts"])
 
+    lists = T.ArrayType(T.IntegerType(), False)
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType)])
     for name in ("a", "b", "a_cuts", "b_cuts"):
         schema = schema.add(name, lists)
@@ -195,11 +201,6 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([NONE, *values]).astype(np.int32, copy=False)))
 
 
-def _arrays(column: pa.ListArray) -> list[np.ndarray]:
-    flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
-    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-
-
 def _digest(own: Groups, names: Remembered) -> str:
     """Lowercase hex of the groups written as `a1,a2|b1;a3|b2,b3`; empty without tokens."""
     if not len(own.a_cuts):
@@ -212,8 +213,10 @@ def _digest(own: Groups, names: Remembered) -> str:
     return hashlib.sha256(";".join(said).encode()).hexdigest()
 
 
-def link_statistics(aligned: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Per row of `align`: n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256.
+def link_statistics(
+    docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """Per document, aligned as by `align`: n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256.
 
     A link is an occurrence of an a-token and one of a b-token that end at the same byte, so each
     group's last two. The count of an id pair is how many links of all documents hold it; n_best are
@@ -222,14 +225,13 @@ def link_statistics(aligned: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
     Counts are added up per task before they are shuffled. The most frequent pairs, at most FREQUENT,
     are joined as a broadcast table, all others by a shuffle in which no pair is frequent. Rows without
-    tokens have zeros and an empty digest. Null ids and repeated rows each keep their row.
+    tokens have zeros and an empty digest; all other cases are those of `align`.
     """
     pairs = T.ArrayType(T.StructType().add("pair", "long").add("n", "long"), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Remembered(str)
-        for batch in batches:
-            found = [Groups(*x) for x in zip(*(_arrays(batch.column(k)) for k in range(1, 5)))]
+        names = Remembered(str, REMEMBERED)
+        for ids, found in _aligned(batches, a_path, b_path):
             own = [_pairs(g) for g in found]
             ends = np.zeros(len(own) + 1, np.int32)
             np.cumsum([len(x) for x, _ in own], out=ends[1:])
@@ -243,14 +245,14 @@ def link_statistics(aligned: DataFrame, id_column: str = "doc_id") -> DataFrame:
             sizes = [pa.array([len(getattr(g, name)) for g in found], pa.int64()) for name in ("a", "b", "a_cuts")]
             digests = pa.array([_digest(g, names) for g in found], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *sizes, digests, pa.ListArray.from_arrays(pa.array(ends), flat)],
+                [ids, *sizes, digests, pa.ListArray.from_arrays(pa.array(ends), flat)],
                 names=["id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs"],
             )
 
-    schema = T.StructType([T.StructField("id", aligned.schema[id_column].dataType)])
+    schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType)])
     schema = schema.add("n_a", "long").add("n_b", "long").add("n_groups", "long")
     schema = schema.add("groups_sha256", "string").add("pairs", pairs)
-    read = aligned.select(F.col(id_column).alias("id"), "a", "b", "a_cuts", "b_cuts")
+    read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     rows = stored(read.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "aligned")
     held = rows.select("row", F.inline("pairs"))
     counts = held.groupBy("pair").agg(F.sum("n").alias("links"))

@@ -90,10 +90,10 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    from martwright.llm.alignment import align, link_statistics
+    from martwright.llm.alignment import link_statistics
 
     a, b = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    return link_statistics(align(table(spark, folder, "documents"), a, b))
+    return link_statistics(table(spark, folder, "documents"), a, b)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -62,15 +62,15 @@ class Vocabulary:
 
 
 class Remembered(dict):
-    """A function of a string that keeps its first REMEMBERED results."""
+    """A function of a string that keeps its first results, REMEMBERED of them unless told otherwise."""
 
-    def __init__(self, find):
+    def __init__(self, find, most: int = REMEMBERED):
         super().__init__()
-        self.find = find
+        self.find, self.most = find, most
 
     def __missing__(self, key: str):
         value = self.find(key)
-        if len(self) < REMEMBERED:
+        if len(self) < self.most:
             self[key] = value
         return value
 

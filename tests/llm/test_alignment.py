@@ -84,7 +84,7 @@ def expected(data):
 def test_links_and_groups(request, table):
     df = request.getfixturevalue(table)
     data = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
-    found = link_statistics(align(df, A, B))
+    found = link_statistics(df, A, B)
     assert found.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert rows(found) == expected(data)
 
@@ -98,7 +98,7 @@ def test_pairs_beyond_the_broadcast_table_count_alike(spark, monkeypatch, freque
     assert sum(r[1] > 0 for r in expected(data)) > 50
     assert sum(r[1] == 0 for r in expected(data)) > 50
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
-    assert rows(link_statistics(align(df, A, B))) == expected(data)
+    assert rows(link_statistics(df, A, B)) == expected(data)
 
 
 def test_frequent_pairs_are_bounded(spark, monkeypatch):
@@ -110,9 +110,9 @@ def test_frequent_pairs_are_bounded(spark, monkeypatch):
 
 
 def test_nothing_to_align(spark, empty):
-    assert link_statistics(align(empty, A, B)).count() == 0
+    assert link_statistics(empty, A, B).count() == 0
     df = spark.createDataFrame([(1, None), (1, ""), (None, "\u2581")], "doc_id long, text string")
-    assert rows(link_statistics(align(df, A, B))) == [(1, 0, 0, 0, 0, 0, 0, "")] * 2 + [(None, 0, 0, 0, 0, 0, 0, "")]
+    assert rows(link_statistics(df, A, B)) == [(1, 0, 0, 0, 0, 0, 0, "")] * 2 + [(None, 0, 0, 0, 0, 0, 0, "")]
 
 
 def test_cuts_are_numbers_of_tokens(shared):
@@ -137,11 +137,11 @@ def test_galloping_finds_what_sets_find():
 def test_a_very_long_text(spark):
     text = " ".join(random.Random(6).choice(["grain", "naïve", "日本", "mill,"]) for _ in range(250_000))
     df = spark.createDataFrame([(1, text), (2, "grain mill")], "doc_id long, text string")
-    found = link_statistics(align(df, A, B)).orderBy("doc_id").collect()
+    found = link_statistics(df, A, B).orderBy("doc_id").collect()
     assert [tuple(r) for r in found] == expected([(1, text), (2, "grain mill")])
     assert len(text) > alignment.RUN / 2 and found[0]["n_groups"] > 100_000
 
 
 def test_clashing_columns(awkward):
     clash = awkward.withColumns({c: F.lit("x") for c in ("a", "b", "pairs", "links", "best")})
-    assert rows(link_statistics(align(clash, A, B))) == rows(link_statistics(align(awkward, A, B)))
+    assert rows(link_statistics(clash, A, B)) == rows(link_statistics(awkward, A, B))
