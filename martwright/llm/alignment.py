@@ -9,7 +9,6 @@ from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -19,21 +18,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martwright.llm.common import stored
-from martwright.llm.pretokens import Splitter, runs_of_texts, token_ids
+from martwright.llm.pretokens import Splitter, gathered, runs_of_texts, token_ids
 from martwright.llm.tokens import BYTES, UNUSUAL, Remembered, Vocabulary
 
 # Characters of text worked on at a time.
 RUN = 1 << 21
 # Pairs of ids whose counts are looked up in a broadcast table; the rest meets by a shuffle.
 FREQUENT = 1 << 18
-# Pre-tokens whose ids a process remembers.
-REMEMBERED = 1 << 17
+# Pre-tokens of either side whose ids a process remembers.
+REMEMBERED = 1 << 18
+# The character that stands for a space in pieces, and a text that files with rules of their own change.
+SPACE, _PROBE = "\u2581", "\ufb01  \uff21 \u2460\te\u0301\r\n\u3000\u00a0 "
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
 # ---- the two sides --------------------------------------------------------------------------
 
 
+class Strings:
+    """The byte strings of a vocabulary, one behind the other."""
+
+    def __init__(self, strings: Sequence[bytes]):
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.ends = np.concatenate([[0], np.cumsum([len(x) for x in strings], dtype=np.int64)])
+
+    def ends_of(self, ids: np.ndarray, whole: bytes) -> list[int] | None:
+        """Byte offsets where the tokens end; None unless their bytes joined are the whole."""
+        data, ends = gathered(self.data, self.ends, ids)
+        return ends.tolist() if data.tobytes() == whole else None
+
+
 class ByteLevelSide:
     """Ids by a byte-level tokenizer file of a space and the text; special strings are plain text."""
 
@@ -42,11 +56,12 @@ class ByteLevelSide:
         v.tokenizer.encode_special_tokens = True
         self.splitter = Splitter(v.pattern.pattern)
         self.known = Remembered(lambda piece: np.array(v.merge(piece), "<u4").tobytes(), REMEMBERED)
-        strings = v.tokenizer.get_vocab(with_added_tokens=True)
-        self.strings = [b""] * (max(strings.values(), default=-1) + 1)
-        for token, number in strings.items():
+        numbers = v.tokenizer.get_vocab(with_added_tokens=True)
+        strings = [b""] * (max(numbers.values(), default=-1) + 1)
+        for token, number in numbers.items():
             if all(c in BYTES for c in token):
-                self.strings[number] = bytes(BYTES[c] for c in token)
+                strings[number] = bytes(BYTES[c] for c in token)
+        self.strings = Strings(strings)
 
     def ids(self, texts: Sequence[str]) -> list[np.ndarray]:
         usual = [not self.vocabulary.lower and not UNUSUAL.search(x) for x in texts]
@@ -61,19 +76,42 @@ class ByteLevelSide:
 
 
 class PieceSide:
-    """Ids by a sentencepiece file, which puts a space in front of the text itself."""
+    """Ids by a sentencepiece file, which puts a space in front of the text itself.
+
+    Where no piece holds a space behind another character, no merge reaches over the front of a run of
+    spaces, and a file that leaves texts as they are encodes each such part alone; so each distinct
+    one is encoded once. Other files, and texts with the character that stands for a space, are
+    encoded whole.
+    """
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.strings = [self._bytes(self.model.id_to_piece(k)) for k in range(self.model.get_piece_size())]
+        pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
+        self.strings = Strings([self._bytes(x) for x in pieces])
+        as_it_is = self.model.normalize(_PROBE) == SPACE + _PROBE.replace(" ", SPACE)
+        self.apart = as_it_is and not any(SPACE in x.lstrip(SPACE) for x in pieces)
+        self.splitter = Splitter(" +[^ ]*")
+        self.known = Remembered(self._part, REMEMBERED)
 
     @staticmethod
     def _bytes(piece: str) -> bytes:
         byte = _BYTE.fullmatch(piece)
-        return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
+        return bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE, " ").encode()
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a run of spaces and what follows it; the model adds the first space, but not to nothing."""
+        ids = self.model.encode(part[1:]) if len(part) > 1 else [self.model.piece_to_id(SPACE)]
+        return np.array(ids, "<u4").tobytes()
 
     def ids(self, texts: Sequence[str]) -> list[np.ndarray]:
-        return [np.array(x, np.uint32) for x in self.model.encode(list(texts), num_threads=1)]
+        cut = [bool(x) and self.apart and SPACE not in x for x in texts]
+        found = token_ids(
+            self.splitter,
+            [" " + x if parts else "" for x, parts in zip(texts, cut)],
+            lambda pieces: list(map(self.known.__getitem__, pieces)),
+        )
+        whole = iter(self.model.encode([x for x, parts in zip(texts, cut) if not parts], num_threads=1))
+        return [x if parts else np.array(next(whole), np.uint32) for x, parts in zip(found, cut)]
 
 
 @cache
@@ -112,14 +150,6 @@ def common_places(short: Sequence[int], long: Sequence[int]) -> tuple[list[int],
     return here, there
 
 
-def ends_of(strings: Sequence[bytes], ids: np.ndarray, whole: bytes) -> list[int] | None:
-    """Byte offsets where the tokens end; None unless their bytes joined are the whole."""
-    parts = [strings[k] for k in ids.tolist()]
-    if b"".join(parts) != whole:
-        return None
-    return list(accumulate(map(len, parts)))
-
-
 @dataclass(frozen=True)
 class Groups:
     """Smallest runs of tokens of both sides over the same bytes.
@@ -136,11 +166,11 @@ class Groups:
 NONE = np.zeros(0, np.int32)
 
 
-def groups(text: str, a: np.ndarray, b: np.ndarray, a_strings: Sequence[bytes], b_strings: Sequence[bytes]) -> Groups:
+def groups(text: str, a: np.ndarray, b: np.ndarray, a_strings: Strings, b_strings: Strings) -> Groups:
     """The groups of one text; none where a side does not give back the bytes of a space and the text."""
     whole = b" " + text.encode()
-    a_ends = ends_of(a_strings, a, whole) if text else None
-    b_ends = ends_of(b_strings, b, whole) if text else None
+    a_ends = a_strings.ends_of(a, whole) if text else None
+    b_ends = b_strings.ends_of(b, whole) if text else None
     if a_ends is None or b_ends is None:
         return Groups(NONE, NONE, NONE, NONE)
     a_at, b_at = common_places(a_ends, b_ends)
@@ -201,16 +231,27 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([NONE, *values]).astype(np.int32, copy=False)))
 
 
-def _digest(own: Groups, names: Remembered) -> str:
+# Ids as decimal numbers, each with room for the mark behind it; a table per process and bound.
+_decimals = cache(lambda bound: Strings([b"%d," % k for k in range(bound)]))
+
+
+def _digest(own: Groups) -> str:
     """Lowercase hex of the groups written as `a1,a2|b1;a3|b2,b3`; empty without tokens."""
     if not len(own.a_cuts):
         return ""
-    a, b = [names[k] for k in own.a.tolist()], [names[k] for k in own.b.tolist()]
-    said, i, j = [], 0, 0
-    for x, y in zip(own.a_cuts.tolist(), own.b_cuts.tolist()):
-        said.append(f"{a[i] if x == i + 1 else ','.join(a[i:x])}|{b[j] if y == j + 1 else ','.join(b[j:y])}")
-        i, j = x, y
-    return hashlib.sha256(";".join(said).encode()).hexdigest()
+    in_a, in_b = (np.diff(x, prepend=0) for x in (own.a_cuts, own.b_cuts))
+    # A token stands behind those of its own side and those of the other side's groups before its own.
+    a_at = np.arange(len(own.a)) + np.repeat(own.b_cuts - in_b, in_a)
+    b_at = np.arange(len(own.b)) + np.repeat(own.a_cuts, in_b)
+    ids = np.empty(len(own.a) + len(own.b), np.int64)
+    ids[a_at], ids[b_at] = own.a, own.b
+    marks = np.full(len(ids), ord(","), np.uint8)
+    marks[a_at[own.a_cuts - 1]] = ord("|")
+    marks[b_at[own.b_cuts - 1]] = ord(";")
+    decimals = _decimals(1 << int(ids.max()).bit_length())
+    data, ends = gathered(decimals.data, decimals.ends, ids)
+    data[ends - 1] = marks
+    return hashlib.sha256(data[:-1]).hexdigest()
 
 
 def link_statistics(
@@ -230,7 +271,6 @@ def link_statistics(
     pairs = T.ArrayType(T.StructType().add("pair", "long").add("n", "long"), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Remembered(str, REMEMBERED)
         for ids, found in _aligned(batches, a_path, b_path):
             own = [_pairs(g) for g in found]
             ends = np.zeros(len(own) + 1, np.int32)
@@ -243,7 +283,7 @@ def link_statistics(
                 names=["pair", "n"],
             )
             sizes = [pa.array([len(getattr(g, name)) for g in found], pa.int64()) for name in ("a", "b", "a_cuts")]
-            digests = pa.array([_digest(g, names) for g in found], pa.string())
+            digests = pa.array([_digest(g) for g in found], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [ids, *sizes, digests, pa.ListArray.from_arrays(pa.array(ends), flat)],
                 names=["id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs"],

@@ -145,3 +145,11 @@ def test_a_very_long_text(spark):
 def test_clashing_columns(awkward):
     clash = awkward.withColumns({c: F.lit("x") for c in ("a", "b", "pairs", "links", "best")})
     assert rows(link_statistics(clash, A, B)) == rows(link_statistics(awkward, A, B))
+
+
+def test_parts_are_encoded_as_the_whole():
+    rng, side = random.Random(11), alignment.PieceSide(B)
+    parts = ["a", " ", "  ", "\n", "é", "日本", "\u2581", "😀", "\0", "ﬁ", "the", "ing", "\t", " of", "<s>", "<unk>", "<0x41>", "\u0301", "\u3000"]
+    made = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    assert side.apart
+    assert [x.tolist() for x in side.ids(made)] == sentencepiece.SentencePieceProcessor(model_file=B).encode(made)
