@@ -35,6 +35,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared storage, whatever store it is in."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    """Delete a folder of the shared storage, whatever store it is in.
+
+    Only the driver's own session reaches the store; through a remote one the folder stays.
+    """
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

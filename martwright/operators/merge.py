@@ -8,12 +8,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martwright.operators.materialize import remove_folder, shared_folder
+from martwright.operators import tables
+from martwright.operators.materialize import shared_folder
 from martwright.operators.tables import clustered
-from martwright.session import RESULT_SETTINGS
-
-PENDING = "martwright.pending_merge"
 
 
 class SchemaChanged(ValueError):
@@ -70,6 +69,50 @@ def upserted(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return keep.select(*target.columns).unionByName(updates)
 
 
+def latest_of_table(spark: SparkSession, table: str, column: str):
+    """Largest value of a column as noted on the table, without reading rows; NULL for an empty table.
+
+    A table without a note, written by others, is read once and gets one.
+    """
+    tables.finish_switch(spark, table)
+    noted = tables.properties(spark, table).get(tables.LATEST + column)
+    if noted is None:
+        noted = tables.largest(spark.table(table), [column])[column]
+        if noted is None:
+            return None
+        tables.set_properties(spark, table, {tables.LATEST + column: noted})
+    kind = spark.table(table).schema[column].dataType.simpleString()
+    return spark.sql(f"SELECT CAST('{noted}' AS {kind}) AS latest").first()["latest"]
+
+
+def _latest_after(
+    noted: dict[str, str], written: DataFrame, replaced: DataFrame, schema: T.StructType
+) -> dict[str, str | None]:
+    """Largest values after `written` rows take the place of `replaced` ones; None where a full look is needed.
+
+    A value that the new rows reach is the largest. If they stay below, the noted one stands unless a
+    replaced row held it.
+    """
+    if not noted:
+        return {}
+    spark = written.sparkSession
+    after, before = tables.largest(written, list(noted)), tables.largest(replaced, list(noted))
+
+    def ordered(low: str | None, high: str, column: str) -> bool:
+        if low is None:
+            return True
+        kind = schema[column].dataType.simpleString()
+        return spark.sql(f"SELECT CAST('{low}' AS {kind}) < CAST('{high}' AS {kind})").first()[0]
+
+    out: dict[str, str | None] = {}
+    for column, value in noted.items():
+        if not ordered(after[column], value, column):
+            out[column] = after[column]
+        else:
+            out[column] = value if ordered(before[column], value, column) else None
+    return out
+
+
 def merge_into_table(
     spark: SparkSession,
     table: str,
@@ -77,84 +120,74 @@ def merge_into_table(
     key: str,
     partition_column: str | None = None,
     cluster_by: Sequence[str] = (),
+    fixed_partition: bool = False,
 ) -> None:
     """Upsert into a Parquet table; with a partition column only the partitions concerned are written.
 
-    These are the partitions the updates fall in and the ones that hold an older row of an updated
-    key. Their new content is staged first, in a folder of this merge alone that all executors share,
-    and the table notes where. If the run dies before the copy is through, the next merge finishes
-    it from there. Afterwards the folder is deleted. One writer at a time. `cluster_by` keeps the layout
-    of a table that was written clustered.
+    These are the partitions the updates fall in and the ones that hold an older row of an updated key;
+    `fixed_partition` says that a key never changes its partition, so that they need not be looked for.
+    Updates are written first, into the folder that the partitions will point to, and their keys are read
+    back from there; then the rows that stay join them. So each row is written once, and a row outside
+    these partitions not at all. The old files serve readers until the catalog points to the new ones;
+    a note on the table lets the next merge finish after a kill. `cluster_by` keeps the layout of
+    a table that was written clustered; its updates are laid out with the other rows, so they are also
+    stored by themselves. One writer at a time.
     """
-    finish_pending_merge(spark, table, partition_column, cluster_by)
+    table = tables.full_name(spark, table)
+    tables.finish_switch(spark, table)
     target = spark.table(table)
     check_same_columns(target, updates)
-    root = f"{shared_folder(spark).rstrip('/')}/merge-{uuid.uuid4().hex}"
-    # Written down once: the updates are read several times and must not change in between.
-    updates.select(*target.columns).write.parquet(f"{root}/updates")
-    updates = spark.read.schema(target.schema).parquet(f"{root}/updates")
-    staged = None
+    updates = updates.select(*target.columns)
+    noted = tables.noted_columns(spark, table)
+    path = tables.new_location(spark, table)
+    aside = f"{shared_folder(spark).rstrip('/')}/merge-{uuid.uuid4().hex}" if cluster_by else path
     try:
-        check_unique_key(updates, key)
         if partition_column is None:
-            staged = upserted(target, updates, key)
-            staged.write.parquet(f"{root}/staged")
-        elif concerned := _partitions_concerned(target, updates, key, partition_column):
-            column = F.col(partition_column)
-            in_scope = column.cast("string").isin([value for value in concerned if value is not None])
-            if None in concerned:
-                in_scope = in_scope | column.isNull()
-            staged = upserted(target.where(in_scope), updates, key)
-            staged.write.parquet(f"{root}/staged")
-            filled = _distinct_values(spark.read.parquet(f"{root}/staged"), partition_column)
-            emptied = [(value,) for value in concerned - filled]
-            spark.createDataFrame(emptied, "value string").write.parquet(f"{root}/emptied")
+            updates.write.parquet(aside)
+        else:
+            updates.hint("rebalance", partition_column).write.partitionBy(partition_column).parquet(path)
+        written = spark.read.schema(target.schema).parquet(aside).select(*target.columns)
+        check_unique_key(written, key)
+        if written.isEmpty():
+            tables.remove_folder(spark, path)
+            return
+        if partition_column is None:
+            kept = target.join(written.select(key), key, "left_anti").select(*target.columns)
+            if cluster_by:
+                clustered(kept.unionByName(written), cluster_by).write.parquet(path)
+            else:
+                kept.write.mode("append").parquet(path)
+            written = spark.read.schema(target.schema).parquet(path)
+            latest = tables.largest(written, list(noted))
+        else:
+            concerned = _distinct_values(written, partition_column)
+            if not fixed_partition:
+                before = target.select(key, partition_column).join(written.select(key), key, "left_semi")
+                concerned |= _distinct_values(before, partition_column)
+            scope = target.where(_in(F.col(partition_column), concerned))
+            kept = scope.join(written.select(key), key, "left_anti").select(*target.columns)
+            kept.hint("rebalance", partition_column).write.mode("append").partitionBy(partition_column).parquet(path)
+            written = spark.read.schema(target.schema).parquet(path)
+            emptied = concerned - _distinct_values(written, partition_column)
+            latest = _latest_after(noted, written, scope, target.schema)
     except BaseException:
-        remove_folder(spark, root)
+        tables.remove_folder(spark, path)
         raise
-    if staged is None:
-        remove_folder(spark, root)
+    finally:
+        if cluster_by:
+            tables.remove_folder(spark, aside)
+    if partition_column is None:
+        tables.switch_table(spark, table, path, latest)
         return
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PENDING}' = '{root}')")
-    finish_pending_merge(spark, table, partition_column, cluster_by)
+    tables.switch_partitions(spark, table, partition_column, path, emptied, latest)
 
 
-def finish_pending_merge(
-    spark: SparkSession, table: str, partition_column: str | None = None, cluster_by: Sequence[str] = ()
-) -> None:
-    """Copy a staged merge into the table. Safe to repeat: it replaces whole partitions."""
-    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    root = properties.get(PENDING)
-    if root is None:
-        return
-    # A session of its own, whose setting for partition overwrites no other query sees.
-    own = spark.newSession()
-    for key in (*RESULT_SETTINGS, "spark.sql.shuffle.partitions"):
-        own.conf.set(key, spark.conf.get(key))
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    if "." not in table:
-        table = f"{spark.catalog.currentDatabase()}.{table}"
-    staged = own.read.schema(spark.table(table).schema).parquet(f"{root}/staged")
-    if partition_column is None:
-        staged = clustered(staged, cluster_by) if cluster_by else staged
-        staged.write.mode("overwrite").insertInto(table)
-    else:
-        # Splits a large partition over several files and gathers small ones.
-        staged.hint("rebalance", partition_column).write.mode("overwrite").insertInto(table)
-        for row in spark.read.parquet(f"{root}/emptied").collect():
-            value = "null" if row[0] is None else f"'{row[0]}'"
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_column} = {value})")
-    spark.catalog.refreshTable(table)
-    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ('{PENDING}')")
-    remove_folder(spark, root)
-
-
-def _distinct_values(df: DataFrame, column: str) -> set:
-    """Values of a partition column, as text: one row per directory, so few."""
-    return {row[0] for row in df.select(F.col(column).cast("string")).distinct().collect()}
+def _in(column: Column, values: set[str | None]) -> Column:
+    """Whether a partition column has one of the values, given as text."""
+    found = column.cast("string").isin([v for v in values if v is not None])
+    return found | column.isNull() if None in values else found
 
 
-def _partitions_concerned(target: DataFrame, updates: DataFrame, key: str, column: str) -> set:
-    """Partitions the updates go to, and those where an updated key was before."""
-    before = target.select(key, column).join(updates.select(key), key, "left_semi")
-    return _distinct_values(updates, column) | _distinct_values(before, column)
+def _distinct_values(df: DataFrame, column: str) -> set[str | None]:
+    """Values of a partition column, as text: one row per directory, so few."""
+    return {row[0] for row in df.select(F.col(column).cast("string")).distinct().collect()}

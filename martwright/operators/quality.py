@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -87,7 +87,7 @@ def violations(df: DataFrame, failing: Column, columns: Sequence[str], message:
     return df.where(failing).select(*columns, F.lit(message).alias("validation_error"))
 
 
-def failing_rows(check: Check, table: str, frames: dict[str, DataFrame]) -> DataFrame:
+def failing_rows(check: Check, table: str, frames: Mapping[str, DataFrame]) -> DataFrame:
     """What to store for a look at a failed check."""
     df = frames[table]
     if isinstance(check, Unique):
@@ -122,7 +122,7 @@ def _row_level(table: str, df: DataFrame, checks: Sequence[Check], severity: str
 
 
 def report(
-    checks: dict[str, Sequence[Check]], frames: dict[str, DataFrame], severity: str = WARN
+    checks: dict[str, Sequence[Check]], frames: Mapping[str, DataFrame], severity: str = WARN
 ) -> DataFrame:
     """One line per check: table, column, check, failures, severity.
 

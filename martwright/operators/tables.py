@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martwright.operators.materialize import remove_folder, shared_folder
+from martwright.operators.materialize import remove_folder
 
 AUDIT_COLUMNS = ("loaded_at", "invocation_id")
 
@@ -40,10 +42,190 @@ def clustered(df: DataFrame, columns: Sequence[str], spread: Sequence[str] = ())
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def create_view(df: DataFrame, name: str) -> DataFrame:
-    """A stored query without data of its own."""
-    df.createOrReplaceTempView(name)
-    return df
+def create_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """A query stored in the catalog, without rows of its own; every session reads it by its name.
+
+    Replacing it is one step of the catalog. A table of that name has to be dropped first.
+    """
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)
+
+
+# ---- stored tables: files are written once, then the catalog points to them --------------------
+
+# What a table notes about itself: files it is about to take over, and the largest values of columns.
+PENDING, LATEST = "martwright.pending", "martwright.latest."
+# Under the folder of new files: which partitions to point there. Readers skip names with this mark.
+SWITCH = "_switch"
+SWITCH_SCHEMA = "value string, folder string, before string"
+
+
+def full_name(spark: SparkSession, table: str) -> str:
+    return table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+
+
+def new_location(spark: SparkSession, table: str) -> str:
+    """A folder of its own beside the tables of the database, where all executors write."""
+    database, name = full_name(spark, table).rsplit(".", 1)
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}__{uuid.uuid4().hex}"
+
+
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def set_properties(spark: SparkSession, table: str, values: dict[str, str | None]) -> None:
+    """Set notes of a table in one step; None takes one away, after the others are set."""
+    kept = ", ".join(f"'{k}' = '{v}'" for k, v in values.items() if v is not None)
+    gone = ", ".join(f"'{k}'" for k, v in values.items() if v is None)
+    if kept:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({kept})")
+    if gone:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({gone})")
+
+
+def noted_columns(spark: SparkSession, table: str) -> dict[str, str]:
+    """Columns whose largest value is noted on a table, and the values."""
+    return {k.removeprefix(LATEST): v for k, v in properties(spark, table).items() if k.startswith(LATEST)}
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _described(spark: SparkSession, table: str, partition: str = "") -> str | None:
+    """Where the rows of a table, or of one of its partitions, are."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").collect()
+    return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+
+
+def _partition(column: str, value: str | None) -> str:
+    literal = "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"PARTITION (`{column}` = {literal})"
+
+
+def known_partitions(spark: SparkSession, table: str, column: str) -> set[str | None]:
+    """Values of the partitions the catalog lists, as text: one row per folder, so few."""
+    return {r[0] for r in spark.table(table).select(F.col(column).cast("string")).distinct().collect()}
+
+
+def stage_switch(
+    spark: SparkSession, table: str, column: str, path: str, emptied: set[str | None] = frozenset()
+) -> None:
+    """Note under `path` where each partition written there is, and which ones will have no rows."""
+    found = spark.read.schema(spark.table(table).schema).parquet(path)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    filled = found.select(F.col(column).cast("string").alias("value"), folder.alias("folder")).distinct().collect()
+    # File paths are shown as URIs, locations are plain paths.
+    rows = [(r["value"], unquote(r["folder"])) for r in filled] + [(value, None) for value in emptied]
+    known = known_partitions(spark, table, column)
+    noted = [
+        (value, folder, _described(spark, table, _partition(column, value)) if value in known else None)
+        for value, folder in rows
+    ]
+    spark.createDataFrame(noted, SWITCH_SCHEMA).coalesce(1).write.parquet(f"{path}/{SWITCH}")
+
+
+def finish_switch(spark: SparkSession, table: str) -> None:
+    """Point a table to the files it has a note of. Safe to repeat after a kill at any step.
+
+    Partitions change one by one, each from all old to all new rows. Old files go last.
+    """
+    notes = properties(spark, table)
+    path = notes.get(PENDING)
+    if path is None:
+        return
+    (column,) = partition_columns(spark, table)
+    rows = spark.read.schema(SWITCH_SCHEMA).parquet(f"{path}/{SWITCH}").collect()
+    for row in rows:
+        at = _partition(column, row["value"])
+        if row["folder"] is None:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {at}")
+            continue
+        # Paths in SQL text are unescaped once.
+        folder = row["folder"].replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {at} LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {table} {at} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    latest = {k.removeprefix("next."): v for k, v in notes.items() if k.startswith(f"next.{LATEST}")}
+    done = dict.fromkeys([PENDING, *(f"next.{k}" for k in latest)])
+    set_properties(spark, table, latest | done)
+    for row in rows:
+        if row["before"] is not None and row["before"] != row["folder"]:
+            remove_folder(spark, row["before"])
+    remove_folder(spark, f"{path}/{SWITCH}")
+
+
+def switch_partitions(
+    spark: SparkSession,
+    table: str,
+    column: str,
+    path: str,
+    emptied: set[str | None] = frozenset(),
+    latest: dict[str, str | None] | None = None,
+) -> None:
+    """Let the partitions written under `path` take the place of the table's; `emptied` ones go."""
+    stage_switch(spark, table, column, path, emptied)
+    noted = {f"next.{LATEST}{k}": v for k, v in (latest or {}).items() if v is not None}
+    # A note that no longer holds goes before the switch; whoever needs it looks at the rows.
+    gone = {LATEST + k: None for k, v in (latest or {}).items() if v is None}
+    set_properties(spark, table, noted | {PENDING: path} | gone)
+    finish_switch(spark, table)
+
+
+def switch_table(spark: SparkSession, table: str, path: str, latest: dict[str, str | None] | None = None) -> None:
+    """Let the files under `path` take the place of an unpartitioned table's rows, in one step of the catalog."""
+    before = _described(spark, table)
+    # Notes go before the switch and come back after it, so that a kill in between leaves none that is wrong.
+    set_properties(spark, table, {LATEST + k: None for k in noted_columns(spark, table)})
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    set_properties(spark, table, {LATEST + k: v for k, v in (latest or {}).items() if v is not None})
+    if before and before != path:
+        remove_folder(spark, before)
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Undo a replacement by a table of other columns that died between its two renames."""
+    database, name = table.rsplit(".", 1)
+    if not spark.catalog.tableExists(table):
+        for found in spark.sql(f"SHOW TABLES IN {database}").collect():
+            if found["tableName"].startswith(f"{name}__old_"):
+                spark.sql(f"ALTER TABLE {database}.{found['tableName']} RENAME TO {table}")
+                return
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table with all its files."""
+    table = full_name(spark, table)
+    if not spark.catalog.tableExists(table):
+        return
+    columns = partition_columns(spark, table)
+    folders = [_described(spark, table)]
+    for column in columns:
+        values = known_partitions(spark, table, column)
+        folders += [_described(spark, table, _partition(column, value)) for value in values]
+    spark.sql(f"DROP TABLE {table}")
+    for folder in filter(None, folders):
+        remove_folder(spark, folder)
+
+
+def _create_over(spark: SparkSession, table: str, schema: T.StructType, path: str, partition_by: str | None) -> None:
+    """A table over files that are already there. Its columns are those of the files, the partition column last."""
+    fields = sorted(schema.fields, key=lambda f: f.name == partition_by)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    by = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {by} LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def largest(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    """The largest value of each column as text, one row to the driver."""
+    if not columns:
+        return {}
+    row = df.agg(*[F.max(c).cast("string").alias(c) for c in columns]).first()
+    return {c: row[c] for c in columns}
 
 
 def replace_table(
@@ -52,33 +234,60 @@ def replace_table(
     cluster_by: Sequence[str] = (),
     spread: Sequence[str] = (),
     partition_by: str | None = None,
+    latest: Sequence[str] = (),
 ) -> DataFrame:
-    """Write the whole table anew and return it as read back; a failed computation leaves the old table.
+    """Write the whole table anew and return it as read back; the old rows stay until all new ones are written.
 
-    A plain table is written beside the old one and takes its name when it is complete. Not every
-    catalog moves partitions with a renamed table, so the rows of a partitioned one are staged in the
-    shared folder and copied when they are complete.
+    Rows are written once, into a folder of their own beside the database's tables; then the catalog
+    points there: a plain table in one step, a partitioned one partition by partition, with a note on the
+    table by which the next write finishes after a kill. A table of other columns is put in place by
+    two renames, and `recover_table` undoes the first where the second is missing. The largest values of
+    the columns `latest` are noted on the table, so that an incremental run need not look for them.
     """
     spark = df.sparkSession
+    table = full_name(spark, table)
+    recover_table(spark, table)
+    if spark.catalog.tableExists(table):
+        latest = sorted({*latest, *noted_columns(spark, table)} & set(df.columns))
+    path = new_location(spark, table)
     if partition_by is not None:
-        root = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-        try:
-            df.write.parquet(root)
-            staged = spark.read.schema(df.schema).parquet(root).hint("rebalance", partition_by)
-            staged.write.mode("overwrite").format("parquet").partitionBy(partition_by).saveAsTable(table)
-        finally:
-            remove_folder(spark, root)
-        return spark.table(table)
-    if cluster_by:
+        df = df.hint("rebalance", partition_by)
+    elif cluster_by:
         df = clustered(df, cluster_by, spread)
-    fresh = f"{table}_{uuid.uuid4().hex}"
     try:
-        df.write.format("parquet").saveAsTable(fresh)
+        writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+        writer.parquet(path)
+        noted = largest(spark.read.schema(df.schema).parquet(path), latest)
+    except BaseException:
+        remove_folder(spark, path)
+        raise
+    if not spark.catalog.tableExists(table):
+        _create_over(spark, table, df.schema, path, partition_by)
+        set_properties(spark, table, {LATEST + k: v for k, v in noted.items() if v is not None})
+        return spark.table(table)
+    kinds = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    same = list(kinds) == [f.name for f in sorted(df.schema.fields, key=lambda f: f.name == partition_by)]
+    same = same and kinds == {f.name: f.dataType for f in df.schema.fields}
+    if same and partition_columns(spark, table) == ([partition_by] if partition_by else []):
+        if partition_by is None:
+            switch_table(spark, table, path, noted)
+        else:
+            finish_switch(spark, table)
+            values = spark.read.schema(df.schema).parquet(path).select(F.col(partition_by).cast("string"))
+            filled = {r[0] for r in values.distinct().collect()}
+            emptied = known_partitions(spark, table, partition_by) - filled
+            switch_partitions(spark, table, partition_by, path, emptied, noted)
+        return spark.table(table)
+    old, fresh = f"{table}__old_{uuid.uuid4().hex}", f"{table}__new_{uuid.uuid4().hex}"
+    _create_over(spark, fresh, df.schema, path, partition_by)
+    set_properties(spark, fresh, {LATEST + k: v for k, v in noted.items() if v is not None})
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    drop_table(spark, old)
     return spark.table(table)
 
 

@@ -6,15 +6,16 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.columns import period_start
 from martwright.operators import merge, quality, tables
 from martwright.plans import checks, gold, silver, staging
 from martwright.plans.skew_profile import SkewProfile, profile_skew
+from martwright.plans.staging_views import view_query
 from martwright.session import apply_settings
-from martwright.sources.raw import RawTables
+from martwright.sources.raw import RawTables, read_tables
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,10 @@ class Run:
     full_refresh: bool = False
     # Order and line ids are known to occur once: plain counts will do.
     unique_ids: bool = False
+    # Orders with late lines or changed customers are merged too, whatever their dates.
+    propagate_changes: bool = False
+    # Database with the tables raw_<name>, where they are stored; else the build stores them itself.
+    raw_database: str | None = None
     target: str = "dev"
     default_schema: str = "retail"
     audit_columns: tuple[str, str] = tables.AUDIT_COLUMNS
@@ -38,7 +43,7 @@ class Run:
     def day(self) -> dt.date:
         return self.as_of or self.run_at.date()
 
-    def table(self, layer: str, name: str) -> str:
+    def table(self, layer: str | None, name: str) -> str:
         return f"{tables.layer_schema(layer, self.default_schema, self.target)}.{name}"
 
     def audited(self, df: DataFrame) -> DataFrame:
@@ -67,24 +72,33 @@ def stage(raw: RawTables) -> Staged:
     )
 
 
-def changed_orders(target: DataFrame, staged: Staged, run: Run) -> DataFrame:
-    """Enriched rows of the orders changed since the target was built.
+def changed_orders(spark: SparkSession, target: str, staged: Staged, run: Run) -> DataFrame:
+    """Enriched rows of the orders changed since the table `target` was built.
 
-    A new line or a changed customer without a change of the order is not seen.
+    A new line or a changed customer without a change of the order is only seen where the run
+    propagates changes.
     """
-    newest = merge.latest(target, "order_updated_at")
-    changed = staged.orders.where(
-        merge.changed_since(F.col("updated_at"), newest, run.run_at, run.lookback_days)
-    )
+    newest = merge.latest_of_table(spark, target, "order_updated_at")
+
+    def is_new(moment: Column) -> Column:
+        return merge.changed_since(moment, newest, run.run_at, run.lookback_days)
+
+    if run.propagate_changes:
+        wanted = silver.affected_orders(
+            staged.orders, staged.order_items, staged.customers, is_new, staged.skew.customers
+        )
+        changed = staged.orders.join(wanted, "order_id", "left_semi")
+    else:
+        changed = staged.orders.where(is_new(F.col("updated_at")))
     items = silver.items_of(staged.order_items, changed, staged.skew.orders)
     return silver.int_orders_enriched(
         changed, items, staged.customers, staged.skew.customers, run.unique_ids
     )
 
 
-def changed_days(target: DataFrame, enriched: DataFrame, run: Run) -> DataFrame:
+def changed_days(spark: SparkSession, target: str, enriched: DataFrame, run: Run) -> DataFrame:
     """Daily rows from the lookback before the target's last day on, each rebuilt in full."""
-    newest = merge.latest(target, "date_day")
+    newest = merge.latest_of_table(spark, target, "date_day")
     recent = enriched
     if newest is not None:
         first = F.lit(newest - dt.timedelta(days=run.lookback_days))
@@ -96,8 +110,17 @@ def changed_days(target: DataFrame, enriched: DataFrame, run: Run) -> DataFrame:
     return gold.mart_sales_daily(recent, run.unique_ids)
 
 
+def stored_raw(spark: SparkSession, raw: RawTables, run: Run) -> tuple[RawTables, dict[str, str]]:
+    """The raw tables as they are stored, and their names; a view can only read what the catalog knows."""
+    if run.raw_database is None:
+        names = {name: run.table(None, f"raw_{name}") for name in RawTables._fields}
+        return RawTables(*[tables.replace_table(df, names[n]) for n, df in raw._asdict().items()]), names
+    names = {name: f"{run.raw_database}.raw_{name}" for name in RawTables._fields}
+    return read_tables(spark, run.raw_database), names
+
+
 def build(spark: SparkSession, raw: RawTables, run: Run) -> dict[str, DataFrame]:
-    """Build staging views, silver and gold tables; returns them by name.
+    """Build staging views in the bronze layer, silver and gold tables; returns them by name.
 
     Incremental tables are merged when they exist, unless a full refresh is asked for. The session gets
     the settings that results depend on. A claim that ids are unique is verified first.
@@ -106,22 +129,25 @@ def build(spark: SparkSession, raw: RawTables, run: Run) -> dict[str, DataFrame]
     if run.unique_ids:
         merge.check_unique_key(raw.orders, "order_id")
         merge.check_unique_key(raw.order_items, "order_item_id")
-    for layer in ("silver", "gold"):
+    for layer in (None, "bronze", "silver", "gold"):
         tables.ensure_database(spark, tables.layer_schema(layer, run.default_schema, run.target))
+    raw, sources = stored_raw(spark, raw, run)
     staged = stage(raw)
-    built = {
-        f"stg_{name}": tables.create_view(run.audited(getattr(staged, name)), f"stg_{name}")
-        for name in RawTables._fields
-    }
+    built = {}
+    for name, source in sources.items():
+        query = view_query(name, source, run.run_at, run.run_id, run.audit_columns)
+        built[f"stg_{name}"] = tables.create_view(spark, run.table("bronze", f"stg_{name}"), query)
 
     name = run.table("silver", "int_orders_enriched")
     if run.full_refresh or not spark.catalog.tableExists(name):
         enriched = silver.int_orders_enriched(
             staged.orders, staged.order_items, staged.customers, staged.skew.customers, run.unique_ids
         )
-        tables.replace_table(run.audited(enriched), name, partition_by="order_month")
+        tables.replace_table(
+            run.audited(enriched), name, partition_by="order_month", latest=["order_updated_at"]
+        )
     else:
-        updates = run.audited(changed_orders(spark.table(name), staged, run))
+        updates = run.audited(changed_orders(spark, name, staged, run))
         merge.merge_into_table(spark, name, updates, "order_id", "order_month")
     built["int_orders_enriched"] = spark.table(name)
 
@@ -139,9 +165,9 @@ def build(spark: SparkSession, raw: RawTables, run: Run) -> dict[str, DataFrame]
     name = run.table("gold", "mart_sales_daily")
     if run.full_refresh or not spark.catalog.tableExists(name):
         daily = gold.mart_sales_daily(built["int_orders_enriched"], run.unique_ids)
-        tables.replace_table(run.audited(daily), name, cluster_by=["date_day"])
+        tables.replace_table(run.audited(daily), name, cluster_by=["date_day"], latest=["date_day"])
     else:
-        updates = changed_days(spark.table(name), built["int_orders_enriched"], run)
+        updates = changed_days(spark, name, built["int_orders_enriched"], run)
         merge.merge_into_table(
             spark, name, run.audited(updates), "date_day", cluster_by=["date_day"]
         )

@@ -235,9 +235,9 @@ def mart_customer_lifetime_value(
 def product_metrics(customer_orders: DataFrame) -> DataFrame:
     """Completed sales summed up per product.
 
-    One shuffle deals the lines by product and order, so a best seller spreads over many tasks.
-    Orders are then counted where they are, and what goes on is one row per product and task. Days
-    are told apart from the same shuffled rows; no line is copied.
+    One shuffle deals the lines by product and order, so a best seller spreads over many tasks. Orders
+    are summed up where they are, each with its days (mostly one); what goes on is one row per product,
+    day and task, and then one per product and task. The lines are read and shuffled once.
     """
     columns = ("product_id", "order_id", "order_date", "quantity", "line_total", "line_profit")
     sales = customer_orders.where(F.col("is_completed")).select(*columns)
@@ -248,10 +248,25 @@ def product_metrics(customer_orders: DataFrame) -> DataFrame:
         *[F.count(c).alias(f"n_{c}") for c in sums[1:]],
         F.min("order_date").alias("first"),
         F.max("order_date").alias("last"),
+        F.collect_set(F.to_date("order_date")).alias("days"),
+    )
+    # The amounts of an order go with its first day; further days are only there to be counted.
+    carried = [*sums, *[f"n_{c}" for c in sums[1:]], "order_id", "first", "last"]
+    first_day = F.coalesce(F.col("place"), F.lit(0)) == 0
+    by_day = (
+        orders.select("product_id", *carried, F.posexplode_outer("days").alias("place", "day"))
+        .select("product_id", "day", *[F.when(first_day, F.col(c)).alias(c) for c in carried])
+        .groupBy("product_id", "day")
+        .agg(
+            F.count("order_id").alias("n_orders"),
+            *[F.sum(c).alias(c) for c in carried[: len(sums) + 2]],
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
     )
     total = {c: F.sum(c) for c in sums}
-    products = orders.groupBy("product_id").agg(
-        F.count("order_id").alias("orders_count"),
+    return by_day.groupBy("product_id").agg(
+        F.sum("n_orders").alias("orders_count"),
         total["quantity"].alias("total_units_sold"),
         total["line_total"].alias("total_revenue"),
         ratio(total["line_total"], F.sum("n_line_total")).alias("avg_line_revenue"),
@@ -259,10 +274,8 @@ def product_metrics(customer_orders: DataFrame) -> DataFrame:
         ratio(total["line_profit"], F.sum("n_line_profit")).alias("avg_line_profit"),
         F.min("first").alias("first_sale_date"),
         F.max("last").alias("last_sale_date"),
+        F.count("day").alias("days_with_sales"),
     )
-    days = sales.select("product_id", F.to_date("order_date").alias("day")).distinct()
-    days = days.groupBy("product_id").agg(F.count("day").alias("days_with_sales"))
-    return products.join(days, "product_id")
 
 
 def product_rankings(metrics: DataFrame) -> Ranked:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -42,6 +44,40 @@ def revenue_trend(daily: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     ).orderBy(F.col("date_day").desc_nulls_first())
 
 
+def revenue_trend_dense(daily: DataFrame, as_of=None, days: int = 30) -> DataFrame:
+    """Every calendar day of a period, latest first, with moving average and growth counted in days.
+
+    Days without orders are there with revenue and orders of 0. Averages take the seven days up to a
+    day, growth compares with the day a week before; both reach back behind the period. The spine has
+    one row per day of the period and a week, made from the two dates alone; its windows range over days.
+    """
+    last = as_of_day(as_of)
+    spine = daily.sparkSession.range(1).select(
+        F.explode(F.sequence(F.date_sub(last, days + 7), last)).alias("date_day")
+    )
+    recent = daily.where(F.col("date_day").between(F.date_sub(last, days + 7), last))
+    known = recent.select("date_day", "net_revenue", "total_orders", "avg_order_value")
+    filled = spine.join(known, "date_day", "left").withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in ("net_revenue", "total_orders")}
+    )
+    day = Window.orderBy(F.unix_date("date_day"))
+    revenue = F.col("net_revenue")
+    week = day.rangeBetween(-6, 0)
+    before = F.max(revenue).over(day.rangeBetween(-7, -7))
+    return (
+        filled.select(
+            "date_day",
+            revenue,
+            ratio(F.sum(revenue).over(week), F.count(revenue).over(week)).alias("revenue_7day_ma"),
+            round_half_up(ratio(revenue - before, before) * 100).alias("wow_growth_pct"),
+            "total_orders",
+            "avg_order_value",
+        )
+        .where(F.col("date_day") >= F.date_sub(last, days))
+        .orderBy(F.col("date_day").desc())
+    )
+
+
 def last_days(daily: DataFrame, days: int = 7) -> DataFrame:
     """The latest rows of the daily mart."""
     return daily.orderBy(F.col("date_day").desc_nulls_first()).limit(days)
@@ -65,6 +101,15 @@ def top_products(performance: DataFrame) -> DataFrame:
     return performance.where(F.col("is_top_revenue_product")).orderBy("revenue_rank")
 
 
-def preview(df: DataFrame, rows: int = 10) -> DataFrame:
-    """A few rows, whichever come first."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """A few rows: the first ones by some columns, or whichever come first."""
+    return (df.orderBy(*by) if by else df).limit(rows)
+
+
+# The columns of the short product report.
+PRODUCT_COLUMNS = ("product_name", "category", "total_revenue", "revenue_rank", "sales_velocity", "inventory_health")
+
+
+def product_report(performance: DataFrame, rows: int = 10) -> DataFrame:
+    """The short product report: the products of the highest revenue, best first."""
+    return preview(performance, rows, [F.col("revenue_rank").asc_nulls_last(), "product_id"]).select(*PRODUCT_COLUMNS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,27 @@ def items_of(order_items: DataFrame, orders: DataFrame, hot_orders: HotKeys = NO
     )
 
 
+def affected_orders(
+    orders: DataFrame,
+    order_items: DataFrame,
+    customers: DataFrame,
+    changed: Callable[[Column], Column],
+    hot_customers: HotKeys = NO_HOT_KEYS,
+) -> DataFrame:
+    """Ids of orders that changed, got a line, or belong to a customer that changed; each id once.
+
+    `changed` tells by a moment whether a row is new. Its bounds are literals, so each of the three scans
+    reads only the files that can hold such rows, and one key column; dates of the orders do not matter.
+    """
+    own = orders.where(changed(F.col("updated_at"))).select("order_id")
+    by_line = order_items.where(changed(F.col("created_at"))).select("order_id")
+    renewed = customers.where(changed(F.col("updated_at"))).select("customer_id").distinct()
+    heads = orders.select("order_id", "customer_id")
+    by_customer = skew_join(heads, renewed, "customer_id", hot=hot_customers, spread="order_id").select("order_id")
+    found = own.unionByName(by_line).unionByName(by_customer)
+    return found.where(F.col("order_id").isNotNull()).distinct()
+
+
 def orders_with_totals(
     orders: DataFrame, order_items: DataFrame, unique_items: bool = False
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from martwright.operators.merge import DuplicateKeys
 from martwright.plans import build as b
 from martwright.plans import gold, reports, silver, staging
 from martwright.plans.checks import DECLARED_CHECKS
+from martwright.plans.staging_views import view_query
 from martwright.schemas import RAW_SCHEMAS
 from martwright.sources.raw import RawTables
 
@@ -293,3 +294,98 @@ def test_order_totals_meet_without_another_shuffle(staged):
     assert "Expand" not in plan
     # Each distinct count shuffles by order and value, then by order; the join adds none.
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_staging_views_equal_the_models(spark, staged):
+    """The queries kept in the catalog give the rows, names and types of the models."""
+    built = b.build(spark, raw_tables(spark), run(default_schema="bronzed"))
+    for name in RawTables._fields:
+        model = getattr(staged, name)
+        view = spark.table(f"bronzed_bronze.stg_{name}").drop(*tables.AUDIT_COLUMNS)
+        assert [(f.name, f.dataType) for f in view.schema] == [(f.name, f.dataType) for f in model.schema]
+        same(view, model)
+        assert built[f"stg_{name}"].columns == [*model.columns, *tables.AUDIT_COLUMNS]
+
+
+def test_awkward_codes_in_staging_views(spark):
+    """Codes with blanks, mixed case, quotes and NULLs, and stock at the borders of its bands."""
+    moment = at(1, 1)
+    statuses = [" COMPLETED ", "Shipped", "CANCELLED", None, "it's", "completed"]
+    orders = [(i, None, moment, s, s, s, None, None, None, moment, moment) for i, s in enumerate(statuses)]
+    stocks = [None, -1, 0, 1, 50, 51, 100, 150, 151]
+    products = [(i, " a ", None, "", "b", "1.00" if i % 2 else "0.00", "3.33", s, moment, moment) for i, s in enumerate(stocks)]
+    amounts = ["2.00", "2.01", "1.99", None, "2.02"]
+    items = [(i, 1, 1, 2, "1.00", a, moment) for i, a in enumerate(amounts)]
+    raw = raw_tables(spark, orders, items)._replace(products=None)
+    made = spark.createDataFrame(products, RAW_SCHEMAS["raw_products"].replace("DECIMAL(12,2)", "STRING"))
+    raw = raw._replace(products=made.withColumns({c: F.col(c).cast("decimal(12,2)") for c in ("price", "cost")}))
+    staged = b.stage(raw)
+    for name, df in raw._asdict().items():
+        df.createOrReplaceTempView(f"awkward_{name}")
+        query = view_query(name, f"awkward_{name}", at(3, 10), "it's r1", tables.AUDIT_COLUMNS)
+        same(spark.sql(query).drop(*tables.AUDIT_COLUMNS), getattr(staged, name))
+        assert {r[0] for r in spark.sql(query).select("invocation_id").collect()} == {"it's r1"}
+
+
+def test_other_sessions_read_the_views_of_their_own_build(spark):
+    few = raw_tables(spark, ORDERS[:2], ITEMS[:2])
+    b.build(spark, few, run(default_schema="retail_one"))
+    b.build(spark, raw_tables(spark), run(default_schema="retail_two"))
+    other = spark.newSession()
+    assert other.table("retail_one_bronze.stg_orders").count() == 2
+    assert other.table("retail_two_bronze.stg_orders").count() == len(ORDERS)
+    # Raw tables that are stored already are read where they are.
+    again = b.build(spark, few, run(default_schema="retail_three", raw_database="retail_two"))
+    assert again["stg_orders"].count() == len(ORDERS) and not spark.catalog.tableExists("retail_three.raw_orders")
+
+
+def test_late_lines_and_changed_customers_are_propagated(spark):
+    """Orders of February, a line that comes in March, and a customer that changes its name then."""
+    everything = raw_tables(spark)
+    late = everything.order_items.where("order_item_id = 2").withColumn("created_at", F.lit(at(3, 9)).cast("timestamp_ntz"))
+    b.build(spark, everything._replace(order_items=everything.order_items.where("order_item_id <> 2")), run(default_schema="prop", run_at=at(3, 3)))
+    renamed = everything.customers.withColumns(
+        {
+            "last_name": F.when(F.col("customer_id") == 2, "New").otherwise(F.col("last_name")),
+            "updated_at": F.when(F.col("customer_id") == 2, F.lit(at(3, 9)).cast("timestamp_ntz")).otherwise(F.col("updated_at")),
+        }
+    )
+    now = everything._replace(
+        customers=renamed, order_items=everything.order_items.where("order_item_id <> 2").unionByName(late)
+    )
+    seen = b.build(spark, now, run(default_schema="prop", run_at=at(3, 10), run_id="r2", propagate_changes=True))
+    full = b.build(spark, now, run(default_schema="prop_full"))
+    columns = [c for c in full["int_orders_enriched"].columns if c not in tables.AUDIT_COLUMNS]
+    same(seen["int_orders_enriched"].select(columns), full["int_orders_enriched"].select(columns))
+    touched = {r["order_id"] for r in seen["int_orders_enriched"].where("invocation_id = 'r2'").collect()}
+    # Order 1 has the line, 3 and 4 the customer; 2 and 5 did not change.
+    assert touched == {1, 3, 4}
+
+
+def test_dense_trend_counts_days(spark):
+    daily = daily_frame(spark, [0.0, 10.0, 20.0, 30.0, 40.0, 50.0, 60.0, 70.0, 20.0])
+    found = {r["date_day"].day: r for r in reports.revenue_trend_dense(daily, dt.date(2024, 3, 14), 13).collect()}
+    assert sorted(found) == list(range(1, 15))
+    # The hole is the fifth; its day has zeros and counts in the averages.
+    assert (found[5]["net_revenue"], found[5]["total_orders"], found[5]["avg_order_value"]) == (0.0, 0, None)
+    assert found[7]["revenue_7day_ma"] == pytest.approx((0 + 10 + 20 + 30 + 0 + 40 + 50) / 7)
+    assert found[10]["wow_growth_pct"] == 0.0 and found[12]["wow_growth_pct"] is None
+    assert found[14]["wow_growth_pct"] == -100.0 and found[1]["wow_growth_pct"] is None
+    assert reports.revenue_trend_dense(daily.limit(0), DAY, 5).count() == 6
+
+
+def test_the_sales_of_products_read_and_shuffle_the_lines_once(spark, staged, tmp_path):
+    lines_of(staged).write.parquet(str(tmp_path / "lines"))
+    lines = spark.read.parquet(str(tmp_path / "lines"))
+    plan = gold.product_metrics(lines)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("REPARTITION_BY_COL") == 1
+    assert plan.count("Exchange") == 3
+
+
+def test_an_order_on_two_days_counts_once(spark, staged):
+    """An order id listed on two days: one order, two days of sales, each amount once."""
+    twice = [*ORDERS, (*ORDERS[0][:2], at(2, 9), *ORDERS[0][3:])]
+    lines = lines_of(b.stage(raw_tables(spark, twice)))
+    found = as_dicts(gold.product_metrics(lines), "product_id")[1]
+    assert (found["orders_count"], found["days_with_sales"], found["total_units_sold"]) == (1, 2, 20)
+    assert (found["total_revenue"], found["avg_line_revenue"]) == (40.0, 20.0)

@@ -16,7 +16,7 @@ def month(number):
 
 
 def frame(spark, data):
-    return spark.createDataFrame([(i, v, month(m)) for i, v, m in data], SCHEMA)
+    return spark.createDataFrame([(i, v, month(m)) for i, v, m in data], SCHEMA).coalesce(1)
 
 
 @pytest.fixture
@@ -72,17 +72,17 @@ def test_unpartitioned(spark):
 
 
 def test_interrupted_merge_is_finished_later(spark, target, monkeypatch):
-    """The run dies after staging; the next merge, of something else, completes both."""
-    finish = merge.finish_pending_merge
+    """The run dies when files are in place; the next merge, of something else, completes both."""
+    finish = tables.finish_switch
     calls = []
 
-    def dies(*args, **kwargs):
+    def dies(*args):
         calls.append(args)
         if len(calls) == 2:
             raise RuntimeError("lost")
         return finish(*args)
 
-    monkeypatch.setattr(merge, "finish_pending_merge", dies)
+    monkeypatch.setattr(tables, "finish_switch", dies)
     with pytest.raises(RuntimeError):
         merge.merge_into_table(spark, target, frame(spark, [(4, "D", 2)]), "id", "m")
     monkeypatch.undo()
@@ -91,21 +91,136 @@ def test_interrupted_merge_is_finished_later(spark, target, monkeypatch):
     assert content(spark, target) == [(1, "A", 1), (2, "b", 1), (3, "c", 2), (4, "D", 2)]
 
 
-def test_tables_of_one_name_do_not_meet(spark, monkeypatch):
-    """A merge that dies is finished with its own rows, though a table of the same name is merged since."""
-    for database in ("near", "far"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        frame(spark, [(1, database, 1)]).write.format("parquet").saveAsTable(f"{database}.t")
-    finish = merge.finish_pending_merge
-    monkeypatch.setattr(merge, "finish_pending_merge", lambda *args: None)
-    merge.merge_into_table(spark, "near.t", frame(spark, [(2, "near-new", 1)]), "id")
-    monkeypatch.undo()
-    merge.merge_into_table(spark, "far.t", frame(spark, [(3, "far-new", 1)]), "id")
-    finish(spark, "near.t")
-    assert content(spark, "near.t") == [(1, "near", 1), (2, "near-new", 1)]
-    assert content(spark, "far.t") == [(1, "far", 1), (3, "far-new", 1)]
-    spark.sql("DROP DATABASE near CASCADE")
-    spark.sql("DROP DATABASE far CASCADE")
+class Steps:
+    """Counts the steps that change the catalog or delete files, and fails before one of them."""
+
+    def __init__(self, monkeypatch, spark, fail_at=None):
+        self.count, self.fail_at = 0, fail_at
+        sql, remove = type(spark).sql, tables.remove_folder
+        changes = ("ALTER", "CREATE TABLE", "MSCK", "DROP")
+        monkeypatch.setattr(type(spark), "sql", lambda s, text, *a, **k: (self.step() if text.startswith(changes) else None, sql(s, text, *a, **k))[1])
+        monkeypatch.setattr(tables, "remove_folder", lambda *a: (self.step(), remove(*a))[1])
+
+    def step(self):
+        self.count += 1
+        if self.count == self.fail_at:
+            raise RuntimeError("lost")
+
+
+BEFORE = [(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", 3)]
+MERGED = [(1, "a", 1), (2, "B", 2), (3, "c", 2), (4, "D", 2), (5, "e", 4)]
+REBUILT = [(1, "x", 1), (2, "y", 2), (7, "z", 5)]
+
+
+@pytest.mark.parametrize("by", ["m", None])
+@pytest.mark.parametrize("change", ["merge", "rebuild"])
+def test_no_step_that_fails_loses_rows(spark, monkeypatch, by, change):
+    """Rows are old or new after a failure between any two steps, and the next run completes the change."""
+
+    def apply(name):
+        if change == "merge":
+            merge.merge_into_table(spark, name, frame(spark, [(2, "B", 2), (4, "D", 2), (5, "e", 4)]), "id", by)
+        else:
+            tables.replace_table(frame(spark, REBUILT), name, partition_by=by)
+
+    wanted = MERGED if change == "merge" else REBUILT
+    at = 1
+    while True:
+        name = f"default.t_steps_{change}_{by}_{at}".lower()
+        tables.replace_table(frame(spark, BEFORE), name, partition_by=by, latest=["m"])
+        with monkeypatch.context() as patch:
+            steps = Steps(patch, spark, at)
+            try:
+                apply(name)
+                failed = False
+            except RuntimeError:
+                failed = True
+        spark.catalog.refreshTable(name)
+        found = content(spark, name)
+        # A row is what it was or what it becomes; keys that no partition has yet to change are there.
+        assert all(r in BEFORE or r in wanted for r in found)
+        if by is None:
+            assert found in (BEFORE, wanted)
+        if not failed:
+            assert found == wanted
+        apply(name)
+        assert content(spark, name) == wanted
+        assert merge.latest_of_table(spark, name, "m") == max(month(m) for _, _, m in wanted)
+        tables.drop_table(spark, name)
+        if not failed:
+            break
+        at += 1 if by is None else 2
+    assert at > 3
+
+
+def test_a_failing_write_leaves_the_partitioned_table(spark, monkeypatch):
+    name = "default.t_second_write"
+    tables.replace_table(frame(spark, BEFORE), name, partition_by="m")
+    broken = frame(spark, [(2, "b", 1)]).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        tables.replace_table(broken, name, partition_by="m")
+    with pytest.raises(Exception, match="no"):
+        merge.merge_into_table(spark, name, broken, "id", "m")
+    # The second write of a merge: the rows that stay.
+    unique = merge.check_unique_key
+    monkeypatch.setattr(merge, "check_unique_key", lambda *a: (unique(*a), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        merge.merge_into_table(spark, name, frame(spark, [(2, "B", 1)]), "id", "m")
+    assert content(spark, name) == BEFORE
+    tables.drop_table(spark, name)
+
+
+def test_other_columns_replace_the_table_and_a_lost_rename_is_undone(spark, monkeypatch):
+    for by in ("m", None):
+        name = f"default.t_other_{by}".lower()
+        tables.replace_table(frame(spark, BEFORE), name, partition_by=by)
+        wider = frame(spark, REBUILT).withColumn("w", F.lit(1))
+        assert tables.replace_table(wider, name, partition_by=by).where("w = 1").count() == 3
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old_x")
+        tables.recover_table(spark, name)
+        assert spark.table(name).count() == 3
+        tables.drop_table(spark, name)
+        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("t_other")]
+
+
+def test_each_row_is_written_once(spark, target):
+    """A merge leaves one new file set: the updates and the rows that stay of the partitions concerned."""
+    merge.merge_into_table(spark, target, frame(spark, [(2, "B", 1), (5, "e", 2)]), "id", "m")
+    files = spark.table(target).inputFiles()
+    fresh = [f for f in files if f"{target}__" in f]
+    assert spark.read.parquet(*fresh).count() == 4 and len(files) - len(fresh) == 1
+
+
+def test_largest_values_are_noted(spark):
+    name = "default.t_latest"
+    tables.replace_table(frame(spark, BEFORE), name, partition_by="m", latest=["m", "id"])
+
+    def noted():
+        jobs = []
+        before = tables.largest
+        tables.largest = lambda *a: (jobs.append(a), before(*a))[1]
+        try:
+            return merge.latest_of_table(spark, name, "id"), len(jobs)
+        finally:
+            tables.largest = before
+
+    assert noted() == (4, 0)
+    merge.merge_into_table(spark, name, frame(spark, [(9, "n", 2)]), "id", "m")
+    assert noted() == (9, 0)
+    merge.merge_into_table(spark, name, frame(spark, [(1, "A", 1)]), "id", "m")
+    assert noted() == (9, 0)
+    # The row that held the largest month moves to an earlier one: the table is looked at again.
+    merge.merge_into_table(spark, name, frame(spark, [(4, "D", 1)]), "id", "m")
+    assert merge.latest_of_table(spark, name, "m") == month(2)
+    assert noted() == (9, 0)
+    tables.replace_table(frame(spark, []), name, partition_by="m", latest=["m", "id"])
+    assert merge.latest_of_table(spark, name, "id") is None
+    tables.drop_table(spark, name)
+
+
+def test_keys_that_keep_their_partition_are_not_looked_for(spark, target):
+    merge.merge_into_table(spark, target, frame(spark, [(2, "B", 1), (5, "e", 4)]), "id", "m", fixed_partition=True)
+    assert content(spark, target) == [(1, "a", 1), (2, "B", 1), (3, "c", 2), (4, "d", 3), (5, "e", 4)]
 
 
 def test_no_folder_is_left(spark, target):

@@ -6,8 +6,11 @@ from martwright.functions import rules
 from verification.queries import (
     AS_OF,
     CUTOFF,
+    FIRST_LOOK,
     MONITOR_UNITS,
+    MOVED,
     REORDER_UNITS,
+    SECOND_LOOK,
     TIERS,
     VELOCITY_BANDS,
 )
@@ -38,6 +41,21 @@ def _money(expr: str) -> str:
     return f"CAST({expr} AS DECIMAL(12,2))"
 
 
+# A customer that moved has two versions; one that vanished ends with the second look.
+_VERSIONS = f"""
+        SELECT customer_id, 'old ' || country AS country, TIMESTAMP '{FIRST_LOOK}' AS updated_at,
+               TIMESTAMP '{FIRST_LOOK}' AS valid_from,
+               if(customer_id % 50 = 9, TIMESTAMP '{SECOND_LOOK}', TIMESTAMP '{MOVED}') AS valid_to
+        FROM sc WHERE customer_id % 3 = 0
+        UNION ALL
+        SELECT customer_id, country, TIMESTAMP '{MOVED}', TIMESTAMP '{MOVED}', NULL
+        FROM sc WHERE customer_id % 3 = 0 AND customer_id % 50 <> 9
+        UNION ALL
+        SELECT customer_id, country, TIMESTAMP '{FIRST_LOOK}', TIMESTAMP '{FIRST_LOOK}',
+               if(customer_id % 50 = 9, TIMESTAMP '{SECOND_LOOK}', NULL)
+        FROM sc WHERE customer_id % 3 <> 0"""
+
+
 # Each step reads only steps above it.
 STEPS = {
     "raw_customers": """
@@ -403,7 +421,33 @@ FINAL = {
         FROM paired""",
     # An incremental run must end where one full build ends.
     "merge_orders": "SELECT * FROM enriched",
+    "merge_orders_propagated": "SELECT * FROM enriched",
     "merge_sales_daily": "SELECT * FROM daily",
+    # Every day of the period and the week before it, with zeros where there was nothing.
+    "revenue_trend_dense": f"""
+        WITH spine AS (
+            SELECT unnest(generate_series({DAY} - 37, {DAY}, INTERVAL 1 DAY))::DATE AS date_day),
+        filled AS (
+            SELECT date_day, coalesce(net_revenue, 0) AS net_revenue, coalesce(total_orders, 0) AS total_orders,
+                   avg_order_value
+            FROM spine LEFT JOIN (SELECT * FROM daily WHERE dayofmonth(date_day) % 5 <> 2) USING (date_day))
+        SELECT a.date_day::TIMESTAMP AS date_day, a.net_revenue,
+               (SELECT CAST(sum(b.net_revenue) AS DOUBLE) / 7 FROM filled b
+                WHERE b.date_day BETWEEN a.date_day - 6 AND a.date_day) AS revenue_7day_ma,
+               {_round2(_ratio("a.net_revenue - w.net_revenue", "w.net_revenue") + " * 100")} AS wow_growth_pct,
+               a.total_orders, a.avg_order_value
+        FROM filled a JOIN filled w ON w.date_day = a.date_day - 7
+        WHERE a.date_day >= {DAY} - 30""",
+    "report_product_preview": """
+        SELECT product_name, category, total_revenue, revenue_rank, sales_velocity, inventory_health
+        FROM perf ORDER BY revenue_rank NULLS LAST, product_id LIMIT 10""",
+    "customer_versions": _VERSIONS,
+    # Ranges of one customer do not overlap, so an order meets one version at most.
+    "orders_as_of_customer": f"""
+        SELECT order_id, so.customer_id, order_date, country, valid_from, valid_to
+        FROM so LEFT JOIN ({_VERSIONS}) v
+          ON v.customer_id = so.customer_id AND valid_from <= order_date
+         AND (valid_to IS NULL OR valid_to > order_date)""",
     # Every change of an order in the order of time; each version ends where the next begins.
     "order_status_history": f"""
         WITH known AS (
@@ -548,6 +592,9 @@ MONEY_COLUMNS = {
     "moving_avg": "net_revenue",
     "wow_growth": "net_revenue",
     "merge_orders": _ORDER,
+    "merge_orders_propagated": _ORDER,
+    "revenue_trend_dense": "net_revenue",
+    "report_product_preview": "total_revenue",
     "merge_sales_daily": _DAILY,
     "check_positive_totals": "grand_total",
     "check_profit_le_revenue": "total_revenue total_profit",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -230,8 +230,9 @@ def merge_orders(r: Retail) -> DataFrame:
     cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
     seen = _as_first_seen(r.orders, F.col("updated_at") >= cutoff)
     name = _fresh_table(r, "int_orders_enriched")
-    target = tables.replace_table(_enriched(r, seen, r.order_items), name, partition_by="order_month")
-    newest = merge.latest(target, "order_updated_at")
+    before = _enriched(r, seen, r.order_items)
+    tables.replace_table(before, name, partition_by="order_month", latest=["order_updated_at"])
+    newest = merge.latest_of_table(r.spark, name, "order_updated_at")
     run_at = dt.datetime.combine(AS_OF, dt.time())
     changed = r.orders.where(
         merge.changed_since(F.col("updated_at"), newest, run_at, LOOKBACK_DAYS)
@@ -242,6 +243,73 @@ def merge_orders(r: Retail) -> DataFrame:
     return r.spark.table(name)
 
 
+def merge_orders_propagated(r: Retail) -> DataFrame:
+    """A table that lacks some old lines and has old names of some customers, after a run that propagates.
+
+    The orders themselves did not change, and their dates are older than any lookback.
+    """
+    day = F.lit(AS_OF).cast("timestamp_ntz")
+    old = F.col("customer_id") % 300 == 7
+    late = F.col("order_id") % 900 == 11
+    # Now: the late lines and the renamed customers carry today's date.
+    items = r.order_items.withColumn("created_at", F.when(late, day).otherwise(F.col("created_at")))
+    customers = r.customers.withColumn("updated_at", F.when(old, day).otherwise(F.col("updated_at")))
+    name = _fresh_table(r, "int_orders_enriched")
+    before = silver.int_orders_enriched(
+        r.orders.where(F.col("updated_at") < F.lit(CUTOFF).cast("timestamp_ntz")),
+        r.order_items.where(~late | (F.col("quantity") % 2 == 0)),
+        r.customers.withColumn("full_name", F.when(old, F.lit("before")).otherwise(F.col("full_name"))),
+        r.hot_customers,
+    )
+    tables.replace_table(before, name, partition_by="order_month", latest=["order_updated_at"])
+    newest = merge.latest_of_table(r.spark, name, "order_updated_at")
+    run_at = dt.datetime.combine(AS_OF, dt.time())
+
+    def changed(moment: Column) -> Column:
+        return merge.changed_since(moment, newest, run_at, LOOKBACK_DAYS)
+
+    wanted = silver.affected_orders(r.orders, items, customers, changed, r.hot_customers)
+    heads = r.orders.join(wanted, "order_id", "left_semi")
+    lines = silver.items_of(items, heads, r.line_skew["l_orderkey"])
+    updates = silver.int_orders_enriched(heads, lines, customers, r.hot_customers)
+    merge.merge_into_table(r.spark, name, updates, "order_id", "order_month", fixed_partition=True)
+    return r.spark.table(name)
+
+
+def _days_with_gaps(r: Retail) -> DataFrame:
+    return r.daily.where(F.dayofmonth("date_day") % 5 != 2)
+
+
+# Two looks at the customers: some move in between, some vanish.
+FIRST_LOOK, MOVED, SECOND_LOOK = dt.datetime(1993, 1, 1), dt.datetime(1996, 6, 1), dt.datetime(1997, 1, 1)
+
+
+def customer_versions(r: Retail) -> DataFrame:
+    columns = ("customer_id", "country", "updated_at")
+    moves, moved = F.col("customer_id") % 3 == 0, F.lit(MOVED).cast("timestamp_ntz")
+    first = r.customers.withColumns(
+        {
+            "country": F.when(moves, F.concat(F.lit("old "), "country")).otherwise(F.col("country")),
+            "updated_at": F.lit(FIRST_LOOK).cast("timestamp_ntz"),
+        }
+    )
+    second = r.customers.where("customer_id % 50 <> 9").withColumn(
+        "updated_at", F.when(moves, moved).otherwise(F.lit(FIRST_LOOK).cast("timestamp_ntz"))
+    )
+    name = _fresh_table(r, "customer_versions")
+    history.snapshot_into_table(r.spark, name, first.select(*columns), "customer_id", FIRST_LOOK)
+    return history.snapshot_into_table(r.spark, name, second.select(*columns), "customer_id", SECOND_LOOK)
+
+
+def orders_as_of_customer(r: Retail) -> DataFrame:
+    """Each order with the country its customer had then."""
+    orders = r.orders.select("order_id", "customer_id", "order_date")
+    versions = customer_versions(r).drop(history.ENDED_ON, "updated_at")
+    return history.join_as_of(
+        orders, versions, "customer_id", "order_date", r.hot_customers, spread="order_id"
+    )
+
+
 def merge_sales_daily(r: Retail) -> DataFrame:
     """Daily table up to the cutoff with its last days half-told, then merged with their rebuild.
 
@@ -253,8 +321,8 @@ def merge_sales_daily(r: Retail) -> DataFrame:
     seen = _as_first_seen(r.orders, stale)
     name = _fresh_table(r, "mart_sales_daily")
     daily = gold.mart_sales_daily(_enriched(r, seen, r.order_items))
-    target = tables.replace_table(daily, name, cluster_by=["date_day"])
-    newest = merge.latest(target, "date_day")
+    tables.replace_table(daily, name, cluster_by=["date_day"], latest=["date_day"])
+    newest = merge.latest_of_table(r.spark, name, "date_day")
     changed = r.enriched.where(
         merge.days_to_rebuild(F.col("order_date_day"), newest, LOOKBACK_DAYS)
     )
@@ -287,20 +355,34 @@ def compare_order_states(r: Retail) -> DataFrame:
 # ---- checks -----------------------------------------------------------------------------------
 
 
-def _frames(r: Retail) -> dict[str, DataFrame]:
-    return {
-        "int_orders_enriched": r.enriched,
-        "int_customer_orders": r.customer_orders,
-        "mart_sales_daily": r.daily,
-        "mart_customer_lifetime_value": r.lifetime_value,
-        "mart_product_performance": r.performance,
-        "stg_customers": r.customers,
-        "stg_orders": r.orders,
-        "stg_order_items": r.order_items,
-        "stg_products": r.products,
-        "dim_customers": r.dimension,
+class Frames(Mapping[str, DataFrame]):
+    """The models by name; each is built when it is first asked for, so a check costs only what it reads."""
+
+    ATTRIBUTES = {
+        "int_orders_enriched": "enriched",
+        "int_customer_orders": "customer_orders",
+        "mart_sales_daily": "daily",
+        "mart_customer_lifetime_value": "lifetime_value",
+        "mart_product_performance": "performance",
+        "stg_customers": "customers",
+        "stg_orders": "orders",
+        "stg_order_items": "order_items",
+        "stg_products": "products",
+        "dim_customers": "dimension",
     }
 
+    def __init__(self, retail: Retail):
+        self.retail = retail
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self.retail, self.ATTRIBUTES[name])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.ATTRIBUTES)
+
+    def __len__(self) -> int:
+        return len(self.ATTRIBUTES)
+
 
 def check_unique(r: Retail) -> DataFrame:
     listed = {
@@ -309,7 +391,7 @@ def check_unique(r: Retail) -> DataFrame:
         "stg_order_items": [quality.Unique("order_item_id"), quality.Unique("order_id")],
         "stg_products": [quality.Unique("product_id"), quality.Unique("category")],
     }
-    return quality.report(listed, _frames(r))
+    return quality.report(listed, Frames(r))
 
 
 def check_not_null(r: Retail) -> DataFrame:
@@ -319,7 +401,7 @@ def check_not_null(r: Retail) -> DataFrame:
         "stg_products": [quality.NotNull(c) for c in ("product_name", "profit_margin_pct")],
         "dim_customers": [quality.NotNull(c) for c in ("customer_segment", "first_order_date")],
     }
-    return quality.report(listed, _frames(r))
+    return quality.report(listed, Frames(r))
 
 
 def check_relationships(r: Retail) -> DataFrame:
@@ -343,7 +425,7 @@ def check_accepted_values(r: Retail) -> DataFrame:
             quality.AcceptedValues("purchase_frequency_segment", ("Never Purchased",)),
         ],
     }
-    return quality.report(listed, _frames(r))
+    return quality.report(listed, Frames(r))
 
 
 def cents(r: Retail) -> DataFrame:
@@ -389,15 +471,20 @@ MODELS: dict[str, Callable[[Retail], DataFrame]] = {
     "moving_avg": moving_avg,
     "wow_growth": wow_growth,
     "merge_orders": merge_orders,
+    "merge_orders_propagated": merge_orders_propagated,
     "merge_sales_daily": merge_sales_daily,
+    "revenue_trend_dense": lambda r: reports.revenue_trend_dense(_days_with_gaps(r), AS_OF),
+    "report_product_preview": lambda r: reports.product_report(r.performance),
+    "customer_versions": lambda r: customer_versions(r).drop(history.ENDED_ON),
+    "orders_as_of_customer": orders_as_of_customer,
     "order_status_history": order_status_history,
     "compare_order_states": compare_order_states,
     "check_unique": check_unique,
     "check_not_null": check_not_null,
     "check_relationships": check_relationships,
     "check_accepted_values": check_accepted_values,
-    "check_declared_silver": lambda r: quality.report(checks.SILVER_CHECKS, _frames(r)),
-    "check_declared_gold": lambda r: quality.report(checks.GOLD_CHECKS, _frames(r)),
+    "check_declared_silver": lambda r: quality.report(checks.SILVER_CHECKS, Frames(r)),
+    "check_declared_gold": lambda r: quality.report(checks.GOLD_CHECKS, Frames(r)),
     "check_positive_totals": lambda r: checks.positive_order_totals(r.enriched),
     "check_profit_le_revenue": lambda r: checks.profit_within_revenue(r.performance),
     "cents_to_dollars": cents,
