@@ -121,6 +121,7 @@ def merge_into_table(
     partition_column: str | None = None,
     cluster_by: Sequence[str] = (),
     fixed_partition: bool = False,
+    notes: dict[str, str] | None = None,
 ) -> None:
     """Upsert into a Parquet table; with a partition column only the partitions concerned are written.
 
@@ -131,7 +132,7 @@ def merge_into_table(
     these partitions not at all. The old files serve readers until the catalog points to the new ones;
     a note on the table lets the next merge finish after a kill. `cluster_by` keeps the layout of
     a table that was written clustered; its updates are laid out with the other rows, so they are also
-    stored by themselves. One writer at a time.
+    stored by themselves. `notes` are properties that the table gets with the new rows. One writer at a time.
     """
     table = tables.full_name(spark, table)
     tables.finish_switch(spark, table)
@@ -150,6 +151,7 @@ def merge_into_table(
         check_unique_key(written, key)
         if written.isEmpty():
             tables.remove_folder(spark, path)
+            tables.set_properties(spark, table, notes or {})
             return
         if partition_column is None:
             kept = target.join(written.select(key), key, "left_anti").select(*target.columns)
@@ -177,9 +179,9 @@ def merge_into_table(
         if cluster_by:
             tables.remove_folder(spark, aside)
     if partition_column is None:
-        tables.switch_table(spark, table, path, latest)
+        tables.switch_table(spark, table, path, latest, notes)
         return
-    tables.switch_partitions(spark, table, partition_column, path, emptied, latest)
+    tables.switch_partitions(spark, table, partition_column, path, emptied, latest, notes)
 
 
 def _in(column: Column, values: set[str | None]) -> Column:

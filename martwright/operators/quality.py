@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WARN, ERROR = "warn", "error"
 
@@ -55,6 +56,28 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def repeated_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Number of values that occur more than once, for several columns: one row (i, n) per column that has any.
+
+    Each row gives a value per column from one scan, and all are counted together: one shuffle whatever
+    the number of columns. Values combine before it, so one with very many rows is no problem.
+    """
+    texts = [
+        F.hex(c) if isinstance(df.schema[c].dataType, T.BinaryType) else F.col(c).cast("string") for c in columns
+    ]
+    values = F.posexplode(F.array(*texts)).alias("i", "value")
+    counted = df.select(values).where(F.col("value").isNotNull()).groupBy("i", "value").count()
+    return counted.where(F.col("count") > 1).groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _all_unique(table: str, df: DataFrame, checks: Sequence[Check], severity: str) -> DataFrame:
+    """The report lines of all uniqueness checks of a table."""
+    found = repeated_values(df, [c.column for c in checks])
+    counts = found.agg(*[F.max(F.when(F.col("i") == i, F.col("n"))).alias(f"n_{i}") for i in range(len(checks))])
+    lines = [_line(table, c, F.col(f"n_{i}"), severity) for i, c in enumerate(checks)]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def nulls(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
@@ -134,14 +157,13 @@ def report(
         simple = [c for c in listed if isinstance(c, NotNull | AcceptedValues)]
         if simple:
             parts.append(_row_level(table, df, simple, severity))
+        unique = [c for c in listed if isinstance(c, Unique)]
+        if unique:
+            parts.append(_all_unique(table, df, unique, severity))
         for check in listed:
-            if isinstance(check, Unique):
-                failures = F.count(F.lit(1))
-            elif isinstance(check, Relationship):
-                failures = F.sum("n_records")
-            else:
+            if not isinstance(check, Relationship):
                 continue
-            found = failing_rows(check, table, frames).agg(failures.alias("n"))
+            found = failing_rows(check, table, frames).agg(F.sum("n_records").alias("n"))
             parts.append(found.select(F.inline(F.array(_line(table, check, F.col("n"), severity)))))
     result = parts[0]
     for part in parts[1:]:

@@ -147,9 +147,9 @@ def finish_switch(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {at} LOCATION '{folder}'")
         spark.sql(f"ALTER TABLE {table} {at} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
-    latest = {k.removeprefix("next."): v for k, v in notes.items() if k.startswith(f"next.{LATEST}")}
-    done = dict.fromkeys([PENDING, *(f"next.{k}" for k in latest)])
-    set_properties(spark, table, latest | done)
+    following = {k.removeprefix("next."): v for k, v in notes.items() if k.startswith("next.")}
+    done = dict.fromkeys([PENDING, *(f"next.{k}" for k in following)])
+    set_properties(spark, table, following | done)
     for row in rows:
         if row["before"] is not None and row["before"] != row["folder"]:
             remove_folder(spark, row["before"])
@@ -163,24 +163,36 @@ def switch_partitions(
     path: str,
     emptied: set[str | None] = frozenset(),
     latest: dict[str, str | None] | None = None,
+    notes: dict[str, str] | None = None,
 ) -> None:
-    """Let the partitions written under `path` take the place of the table's; `emptied` ones go."""
+    """Let the partitions written under `path` take the place of the table's; `emptied` ones go.
+
+    `notes` are further properties, set when the partitions are in place.
+    """
     stage_switch(spark, table, column, path, emptied)
     noted = {f"next.{LATEST}{k}": v for k, v in (latest or {}).items() if v is not None}
+    noted |= {f"next.{k}": v for k, v in (notes or {}).items()}
     # A note that no longer holds goes before the switch; whoever needs it looks at the rows.
     gone = {LATEST + k: None for k, v in (latest or {}).items() if v is None}
     set_properties(spark, table, noted | {PENDING: path} | gone)
     finish_switch(spark, table)
 
 
-def switch_table(spark: SparkSession, table: str, path: str, latest: dict[str, str | None] | None = None) -> None:
+def switch_table(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    latest: dict[str, str | None] | None = None,
+    notes: dict[str, str] | None = None,
+) -> None:
     """Let the files under `path` take the place of an unpartitioned table's rows, in one step of the catalog."""
     before = _described(spark, table)
     # Notes go before the switch and come back after it, so that a kill in between leaves none that is wrong.
     set_properties(spark, table, {LATEST + k: None for k in noted_columns(spark, table)})
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
-    set_properties(spark, table, {LATEST + k: v for k, v in (latest or {}).items() if v is not None})
+    noted = {LATEST + k: v for k, v in (latest or {}).items() if v is not None}
+    set_properties(spark, table, noted | (notes or {}))
     if before and before != path:
         remove_folder(spark, before)
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import rows
 
@@ -61,3 +63,16 @@ def test_store_failures(spark, frames):
 def test_row_checks_share_one_scan(frames):
     plan = q.report({"child": CHECKS["child"][1:4]}, frames)._jdf.queryExecution().executedPlan()
     assert plan.toString().count("LocalTableScan") + plan.toString().count("Scan ExistingRDD") == 1
+
+
+def test_all_uniqueness_checks_of_a_table_share_one_shuffle(spark):
+    df = spark.createDataFrame(
+        [(1, "a", bytearray(b"\x00"), 1.5), (2, "a", bytearray(b"\xff"), 1.5), (3, None, bytearray(b"\xfe"), None), (3, None, None, 1.5)],
+        "i int, s string, b binary, d double",
+    )
+    checks = [q.Unique(c) for c in ("i", "s", "b", "d")]
+    report = q.report({"t": checks}, {"t": df})
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(i#\d+, value#", plan)) == 1 == plan.count("Scan ExistingRDD")
+    assert {r["column"]: r["failures"] for r in report.collect()} == {"i": 1, "s": 1, "b": 0, "d": 1}
+    assert {r["failures"] for r in q.report({"t": checks}, {"t": df.limit(0)}).collect()} == {0}

@@ -470,6 +470,37 @@ FINAL = {
         SELECT if(order_date_day >= DATE '{CUTOFF}', 'only_right',
                   if(updated_at >= DATE '{CUTOFF}', 'different', 'identical')) AS status, count(*) AS keys
         FROM so GROUP BY ALL""",
+    "reconcile_orders": f"""
+        WITH old AS (
+            SELECT *, updated_at >= DATE '{CUTOFF}' AS stale FROM so WHERE order_date_day < DATE '{CUTOFF}'),
+        before AS (
+            SELECT order_id, if(stale, 'pending', order_status) AS order_status,
+                   is_cancelled AND NOT stale AS is_cancelled,
+                   if(stale, created_at, updated_at) AS updated_at, customer_id, discount_amount FROM old),
+        later AS (SELECT * FROM so WHERE order_id % 97 <> 5),
+        pairs AS (SELECT b, l FROM before b JOIN later l USING (order_id))
+        SELECT 'only_left' AS difference, count(*) AS keys FROM before WHERE order_id % 97 = 5
+        UNION ALL SELECT 'only_right', count(*) FROM later WHERE order_date_day >= DATE '{CUTOFF}'
+        UNION ALL SELECT 'repeated', 0
+        """
+    + " ".join(
+        f"UNION ALL SELECT '{c}', count(*) FROM pairs WHERE b.{c} IS DISTINCT FROM l.{c}"
+        for c in ("order_status", "is_cancelled", "updated_at", "customer_id", "discount_amount")
+    ),
+    "reconcile_equal": """
+        SELECT difference, 0::BIGINT AS keys FROM (SELECT unnest(
+            ['only_left', 'only_right', 'repeated', 'order_key', 'customer_id', 'order_date', 'order_date_day',
+             'order_week', 'order_month', 'order_quarter', 'order_year', 'order_status', 'is_completed', 'is_cancelled',
+             'shipping_method', 'payment_method', 'shipping_cost', 'tax_amount', 'discount_amount', 'created_at',
+             'updated_at']) AS difference)""",
+    **{
+        f"agg_{unit}ly_from_daily": f"""
+            SELECT date_trunc('{unit}', order_date_day)::TIMESTAMP AS order_{unit},
+                   count(DISTINCT customer_id) AS unique_customers,
+                   count(DISTINCT customer_id) FILTER (WHERE is_completed) AS active_customers
+            FROM enriched GROUP BY 1"""
+        for unit in ("week", "month")
+    },
     "check_unique": " UNION ALL ".join(
         [
             _twice("stg_customers", "customer_id", "sc"),

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from martwright.functions import rules
 from martwright.functions.columns import cents_to_dollars
-from martwright.operators import history, merge, quality, tables
+from martwright.operators import history, merge, quality, reconcile, tables
 from martwright.operators.skew import find_hot_keys, skew_join
 from martwright.plans import checks, gold, reports, silver, staging
 from martwright.plans.skew_profile import SkewProfile
@@ -352,6 +352,15 @@ def compare_order_states(r: Retail) -> DataFrame:
     return history.compare_tables(before, now, "order_id")
 
 
+def reconcile_orders(r: Retail) -> DataFrame:
+    """What changed in the orders since the cutoff, column by column."""
+    stale = F.col("updated_at") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    columns = ("order_id", "order_status", "is_cancelled", "updated_at", "customer_id", "discount_amount")
+    before = _as_first_seen(r.orders, stale).select(*columns)
+    now = r.orders.where("order_id % 97 <> 5").select(*columns)
+    return reconcile.reconcile(before, now, "order_id")
+
+
 # ---- checks -----------------------------------------------------------------------------------
 
 
@@ -479,6 +488,10 @@ MODELS: dict[str, Callable[[Retail], DataFrame]] = {
     "orders_as_of_customer": orders_as_of_customer,
     "order_status_history": order_status_history,
     "compare_order_states": compare_order_states,
+    "reconcile_orders": reconcile_orders,
+    "reconcile_equal": lambda r: reconcile.reconcile(r.orders, r.orders, "order_id"),
+    "agg_monthly_from_daily": lambda r: gold.period_customers(gold.daily_customers(r.enriched), "month"),
+    "agg_weekly_from_daily": lambda r: gold.period_customers(gold.daily_customers(r.enriched), "week"),
     "check_unique": check_unique,
     "check_not_null": check_not_null,
     "check_relationships": check_relationships,
