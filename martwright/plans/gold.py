@@ -12,6 +12,7 @@ from martwright.functions.columns import as_of_day, day_count, mean, percent, pe
 from martwright.functions.columns import round_half_up
 from martwright.operators.materialize import materialize
 from martwright.operators.rank import Ranked, Ranking, global_row_numbers
+from martwright.operators.tiles import with_tiles
 from martwright.plans.silver import count_ids
 
 SCORE_TILES = 5
@@ -198,23 +199,16 @@ def rfm_scores(metrics: DataFrame, as_of=None, high_is_recent: bool = False) ->
     metrics = materialize(
         metrics.withColumn("recency_days", day_count(F.col("last_order_date"), as_of_day(as_of)))
     )
-    ranked = global_row_numbers(
+    return with_tiles(
         metrics,
         "customer_id",
         [
-            Ranking("recency", F.col("recency_days"), descending=high_is_recent),
-            Ranking("frequency", F.col("purchase_frequency")),
-            Ranking("monetary", F.col("monetary_value")),
+            Ranking("recency_score", F.col("recency_days"), descending=high_is_recent),
+            Ranking("frequency_score", F.col("purchase_frequency")),
+            Ranking("monetary_score", F.col("monetary_value")),
         ],
+        SCORE_TILES,
     )
-    scores = ranked.frame.select(
-        "customer_id",
-        *[
-            ranked.tile(name, SCORE_TILES).alias(f"{name}_score")
-            for name in ("recency", "frequency", "monetary")
-        ],
-    )
-    return metrics.join(scores, "customer_id")
 
 
 def mart_customer_lifetime_value(
