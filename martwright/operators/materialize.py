@@ -23,13 +23,25 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+# Folders that this process wrote and nobody has taken away yet.
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what `materialize` wrote in this process. Frames that still read it can no longer be used."""
+    while _written:
+        remove_folder(spark, _written.pop())
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Later jobs read the same rows, also after an executor is lost, and of Parquet only the columns they use.
+    The folder stays until `release`.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/materialized-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

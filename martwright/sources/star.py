@@ -50,8 +50,8 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     key, start = F.col("c_custkey"), F.lit("1995-01-01").cast("date")
     return (
         table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
             key.alias("customer_id"),
             F.lit("Customer").alias("first_name"),
@@ -129,7 +129,7 @@ def raw_order_items(spark: SparkSession, folder: str, hot_parts: HotKeys = NO_HO
     identity = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     lines = table(spark, folder, "lineitem")
     prices = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    priced = skew_join(lines, prices, "l_partkey", hot=hot_parts, spread="l_orderkey")
+    priced = skew_join(lines, prices, "l_partkey", "left", hot_parts, spread="l_orderkey")
     return priced.select(
         F.concat_ws("-", *[F.col(c).cast("string") for c in identity], quantity.cast("string")).alias(
             "order_item_id"

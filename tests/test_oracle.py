@@ -15,6 +15,13 @@ TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def released(spark):
+    yield
+    queries.release(spark)
+    assert not [d.name for d in spark.catalog.listDatabases() if d.name.startswith("verification_")]
+
+
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()

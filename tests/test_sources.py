@@ -1,8 +1,10 @@
+import datetime as dt
+
 import pytest
 from conftest import rows
 
 from martwright.schemas import RAW_SCHEMAS
-from martwright.sources import raw
+from martwright.sources import raw, star
 
 # The first line of each file, the column names of the sources.
 HEADERS = {
@@ -58,3 +60,20 @@ def test_load_replaces_the_tables(spark, folder):
         assert [df.count() for df in stored] == [1, 1, 1, 1]
     assert rows(spark.table("raw_db.raw_customers"), "postal_code") == [("04050",)]
     assert raw.read_tables(spark, "raw_db").orders.columns == stored.orders.columns
+
+
+def test_rows_with_an_unknown_nation_or_part_stay(spark, tmp_path):
+    """Each base row becomes one raw row, whether or not its nation, region or part is known."""
+    def table(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    table("customer", [(1, "Customer#1", 0), (2, "Customer#2", 9)], "c_custkey long, c_name string, c_nationkey int")
+    table("nation", [(0, "FRANCE", 7)], "n_nationkey int, n_name string, n_regionkey int")
+    table("region", [(3, "EUROPE")], "r_regionkey int, r_name string")
+    table("part", [(1, 10.0)], "p_partkey long, p_retailprice double")
+    lines = [(1, p, 1, n, 2.0, dt.datetime(2024, 1, 1)) for n, p in ((1, 1), (2, 5))]
+    table("lineitem", lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz")
+    customers = rows(star.raw_customers(spark, str(tmp_path)), "customer_id", "city", "state")
+    assert customers == [(1, "FRANCE", None), (2, None, None)]
+    found = rows(star.raw_order_items(spark, str(tmp_path)), "product_id", "quantity", "unit_price")
+    assert [r[:2] for r in found] == [(1, 2), (5, 2)] and found[1][2] is None

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from martwright.functions import rules
 from martwright.functions.columns import cents_to_dollars
-from martwright.operators import history, merge, quality, reconcile, tables
+from martwright.operators import history, materialize, merge, quality, reconcile, tables
 from martwright.operators.skew import find_hot_keys, skew_join
 from martwright.plans import checks, gold, reports, silver, staging
 from martwright.plans.skew_profile import SkewProfile
@@ -218,13 +218,25 @@ def _enriched(r: Retail, orders: DataFrame, items: DataFrame) -> DataFrame:
     return silver.int_orders_enriched(orders, items, r.customers, r.hot_customers)
 
 
+# Databases of this process's runs.
+_databases: list[str] = []
+
+
 def _fresh_table(r: Retail, name: str) -> str:
-    """A table name in a database of its own, so that runs do not meet."""
+    """A table name in a database of its own, so that runs do not meet. It stays until `release`."""
     database = f"verification_{uuid.uuid4().hex}"
     tables.ensure_database(r.spark, database)
+    _databases.append(database)
     return f"{database}.{name}"
 
 
+def release(spark: SparkSession) -> None:
+    """Drop the tables and delete the folders of all runs of this process; their results are gone with them."""
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+    materialize.release(spark)
+
+
 def merge_orders(r: Retail) -> DataFrame:
     """Store the orders up to the cutoff, merge what changed since; the table is the full build."""
     cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
