@@ -45,15 +45,15 @@ def _shapes(docs: DataFrame, text_column: str) -> DataFrame:
     """The text and its word count, with shares of symbols, bars, exclamation marks and capitals."""
     text = whole_text(text_column)
     n = F.greatest(F.length(text), F.lit(1))
-    share = lambda chars: (F.length(text) - F.length(F.translate(text, chars, ""))) / n
+    share = lambda chars: F.regexp_count(text, F.lit(f"[{chars}]")) / n
     return docs.withColumns(
         {
             "__text": text,
-            "__n": F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long"),
+            "__n": F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"),
             "__symbols": share("#*$%&<>"),
             "__bars": share("|"),
             "__shouts": share("!"),
-            "__capitals": share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+            "__capitals": share("A-Z"),
         }
     )
 
@@ -200,12 +200,15 @@ def take_share(
     """The rows that stay when each domain's expected tokens become `multiples` of what they are.
 
     A document stays if the hash of its id and text, as a number below 1, is below its rate; so those
-    with a rate of 1 or more all stay, once. All columns are returned; null ids and texts are rows like others.
+    with a rate of 1 or more all stay, once, and of those with a rate of 0 none. All columns are returned,
+    whatever their names; null ids and texts are rows like others, repeated rows stay or go together, and
+    texts of any length count whole. An empty table gives no rows.
     """
     classifier = fit_classifier(docs, labels, id_column=id_column, text_column=text_column)
-    read = docs.select(id_column, text_column)
-    scored = stored(classifier.posteriors(read, text_column).select("__n", "__p"), "posteriors")
+    # The row is one column, so that no name of its columns can clash, and is scored once.
+    read = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), docs[text_column].alias("__own"))
+    scored = stored(classifier.posteriors(read, "__own").select("__row", "__n", "__p"), "posteriors")
     rates = fit_rates(scored, [multiples[d] for d in classifier.domains])
-    chance = F.pmod(F.xxhash64(id_column, text_column), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    found = classifier.posteriors(docs, text_column)
-    return found.where(chance < rates.rate(F.col("__p"))).select(docs.columns)
+    own = F.xxhash64(F.col("__row")[id_column], F.col("__row")[text_column])
+    chance = F.pmod(own, F.lit(1 << 53)) / F.lit(float(1 << 53))
+    return scored.where(chance < rates.rate(F.col("__p"))).select("__row.*")
