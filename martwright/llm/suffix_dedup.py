@@ -34,8 +34,8 @@ PLACE_BITS = np.uint64(31)
 COLLECTION, SHARDS = 1 << 21, 4
 # An anchor with more bytes of different segments is compared by 128-bit hashes of its windows instead.
 MOST = 1 << 24
-# Documents of one row of entries.
-PACK_DOCS = 1 << 12
+# Documents of one row of entries, and bytes of their texts; a longer text is a row of its own.
+PACK_DOCS, PACK_BYTES = 1 << 12, 1 << 25
 # One text in RATE is looked at for hot anchors, of longer texts than LONG one slice in RATE. An anchor with
 # HOT different segments there (about 16,000 in all) is hot. This changes who compares, not the result.
 RATE, LONG, SLICE, HOT = 16, 1 << 20, 1 << 16, 1000
@@ -122,7 +122,7 @@ PIECES = _columns("key", "id", "row", "start", "size", "bytes")
 def _hot(batches: Iterator[pa.RecordBatch], length: int, rate: int) -> Iterator[pa.RecordBatch]:
     """From a sample of the texts: anchors and the number of their different segments in a batch."""
     unpress = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in (part for whole in batches for part in _packs(whole, 1)):
         rows = batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
         chosen = mix(rows + np.uint64(1)) % np.uint64(rate) == 0
         texts = []
@@ -199,6 +199,19 @@ def _dealt(parts: list[tuple[np.ndarray, dict[str, np.ndarray]]], buckets: int)
     return list(out.values())
 
 
+def _packs(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose unpacked texts have about PACK_BYTES at most."""
+    first, size = 0, 0
+    for row, z in enumerate(batch.column(column)):
+        own = zstandard.frame_content_size(z.as_py())
+        if row > first and (size + own > PACK_BYTES or row - first == PACK_DOCS):
+            yield batch.slice(first, row - first)
+            first, size = row, 0
+        size += own
+    if batch.num_rows:
+        yield batch.slice(first)
+
+
 def _entries(
     batches: Iterator[pa.RecordBatch], length: int, buckets: int, hot: np.ndarray | None = None
 ) -> Iterator[pa.RecordBatch]:
@@ -220,8 +233,7 @@ def _entries(
         return _dealt(parts, buckets)
 
     for batch in batches:
-        for at in range(0, batch.num_rows, PACK_DOCS):
-            part = batch.slice(at, PACK_DOCS)
+        for part in _packs(batch, 2):
             ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             rows = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             data, offsets = utf8(pa.array([unpress.decompress(x.as_py()) for x in part.column(2)], pa.binary()))
@@ -490,14 +502,18 @@ def _finish(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> Iterator
     unpress = zstandard.ZstdDecompressor()
     now, runs = None, []
     for batch in batches:
-        out = []
+        out, size = [], 0
         for x in batch.to_pylist():
+            if size > PACK_BYTES:
+                yield _finished(out, schema)
+                out, size = [], 0
             if x["row"] != now:
                 now, runs = x["row"], []
             if x["kind"] == 1:
                 runs += zip(*[np.frombuffer(x[k], "<i8").tolist() for k in ("start", "end")], strict=True)
                 continue
             text = unpress.decompress(x["z"])
+            size += len(text)
             merged: list[list[int]] = []
             for a, b in sorted(runs):
                 if merged and a <= merged[-1][1]:
@@ -510,9 +526,13 @@ def _finish(batches: Iterator[pa.RecordBatch], schema: T.StructType) -> Iterator
                 at = b
             kept.append(text[at:])
             out.append((x["doc"], len(text), sum(b - a for a, b in merged), len(merged), b"".join(kept), [a for a, _ in merged], [b for _, b in merged]))
-        columns = list(zip(*out, strict=True)) or [()] * len(schema)
-        kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.list_(pa.int64())] * 2
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=schema.fieldNames())
+        yield _finished(out, schema)
+
+
+def _finished(out: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    columns = list(zip(*out, strict=True)) or [()] * len(schema)
+    kinds = [pa.int64()] * 4 + [pa.binary()] + [pa.list_(pa.int64())] * 2
+    return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=schema.fieldNames())
 
 
 def remove_repeats(
