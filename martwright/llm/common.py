@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,9 @@ SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
 # Texts are worked on in pieces of about this many bytes; a longer text is a piece of its own.
 CHUNK_BYTES = 1 << 20
 
+# Longest range hashed by sums.
+SUMMED = 64
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -76,6 +80,33 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * powers(len(sums), inverse=True)[start])
 
 
+def byte_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges [start, end); equal bytes have equal hashes wherever they stand.
+
+    The sums of `range_hash` are modulo a power of two, under which some long strings of two symbols collide
+    whatever the base. They hash only ranges up to SUMMED bytes, where powers do not cancel; a longer
+    range is hashed by itself.
+    """
+    out = range_hash(prefix_hash(data), start, end)
+    long = np.flatnonzero(end - start > SUMMED)
+    if len(long):
+        view = memoryview(np.ascontiguousarray(data))
+        places = zip(start[long].tolist(), end[long].tolist())
+        out[long] = [xxhash.xxh3_64_intdigest(view[a:b]) for a, b in places]
+    return out
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front where a column of the frame has one of them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; null rows are empty."""
     if pa.types.is_large_string(column.type):

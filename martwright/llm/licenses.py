@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.llm.common import chunks, mix, prefix_hash, range_hash, row_of, utf8
+from martwright.llm.common import byte_hash, chunks, mix, row_of, utf8
 
 # License notices as they are commonly written.
 TEMPLATES = {
@@ -64,7 +64,7 @@ def folded_words(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nda
     change[1:-1] = row[1:] != row[:-1]
     start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | change[:-1]))
     end = np.flatnonzero(inside[1:-1] & (~inside[2:] | change[1:])) + 1
-    return range_hash(prefix_hash(text), start, end), row[start]
+    return byte_hash(text, start, end), row[start]
 
 
 def _shingles(word: np.ndarray, k: int) -> np.ndarray:

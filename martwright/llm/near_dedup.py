@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.llm.common import chunks, mix, prefix_hash, range_hash, row_of, stored, utf8, words_of
+from martwright.llm.common import byte_hash, chunks, mix, row_of, stored, utf8, words_of
 from martwright.llm.components import components
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -59,7 +59,7 @@ class Plan:
 def shingles(data: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the k-word shingles of each row (of all words where there are fewer), and their rows."""
     start, end = words_of(data, rows)
-    word = range_hash(prefix_hash(LOWER[data]), start, end)
+    word = byte_hash(LOWER[data], start, end)
     word_row = row_of(rows)[start] if len(start) else np.zeros(0, np.int32)
     n = np.bincount(word_row, minlength=len(rows) - 1)
     first = np.cumsum(n) - n

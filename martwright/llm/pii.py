@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.common import stored, whole_text
+from martwright.llm.common import free_names, stored, whole_text
 from martwright.llm.spans import matches
 
 # In the order in which spans are listed.
@@ -195,8 +195,8 @@ def redact(
 ) -> DataFrame:
     """The documents with each span of personal data replaced by its kind in angle brackets.
 
-    Overlapping spans become one, named after the first. All columns and rows stay; texts without a span
-    stay as they are, nulls included.
+    Overlapping spans become one, named after the first. All columns and rows stay, whatever the columns'
+    names; texts without a span stay as they are, nulls included. An empty table gives no rows.
     """
     spans = personal_spans(docs, method, id_column, text_column)
     place = Window.partitionBy("id", "h").orderBy("start", "end", "kind")
@@ -207,13 +207,14 @@ def redact(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "end", "kind")).alias("kind")
     )
     item = F.struct("start", "end", "kind")
-    lists = merged.groupBy(F.col("id").alias("__id"), F.col("h").alias("__h")).agg(
-        F.array_sort(F.collect_list(item)).alias("__spans")
+    own_id, own_hash, own_spans = free_names(docs, "__id", "__h", "__spans")
+    lists = merged.groupBy(F.col("id").alias(own_id), F.col("h").alias(own_hash)).agg(
+        F.array_sort(F.collect_list(item)).alias(own_spans)
     )
     text = F.col(text_column)
-    same = docs[id_column].eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text(text_column)) == F.col("__h"))
+    same = docs[id_column].eqNullSafe(F.col(own_id)) & (F.xxhash64(whole_text(text_column)) == F.col(own_hash))
     joined = docs.join(lists, same, "left")
-    list_ = F.col("__spans")
+    list_ = F.col(own_spans)
 
     def piece(x: Column, i: Column) -> Column:
         start = F.when(i > 0, F.get(list_, i - 1)["end"]).otherwise(F.lit(0))

@@ -13,9 +13,8 @@ from functools import cache
 import regex
 from tokenizers import Tokenizer
 
-# The pre-token patterns of the two byte-level tokenizers.
+# Fixed value: the pattern that the library's byte-level step has built in.
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # In these characters every Unicode version agrees on letters, spaces and lower case, and no two of
 # them compose. A text with any other character is left to the library as a whole.
 UNUSUAL = re.compile("[^\t\n\r -~¡-įı-ɏ]")
@@ -35,6 +34,19 @@ CHARACTERS = byte_characters()
 BYTES = {c: b for b, c in CHARACTERS.items()}
 
 
+def pre_token_pattern(settings: dict) -> str:
+    """The pattern whose matches a tokenizer file encodes one by one; other ways of cutting are refused."""
+    steps = settings.get("pretokenizers", [settings])
+    kinds = [x["type"] for x in steps]
+    if kinds == ["ByteLevel"] and steps[0]["use_regex"] and not steps[0]["add_prefix_space"]:
+        return BYTE_PATTERN
+    if kinds == ["Split", "ByteLevel"] and not (steps[1]["use_regex"] or steps[1]["add_prefix_space"]):
+        # The matches themselves are the pieces.
+        if steps[0]["behavior"] == "Removed" and steps[0]["invert"] and "Regex" in steps[0]["pattern"]:
+            return steps[0]["pattern"]["Regex"]
+    raise ValueError(f"this tokenizer cuts texts in another way: {settings}")
+
+
 class Vocabulary:
     """A tokenizer file: the library's tokenizer, its pattern, and its special strings."""
 
@@ -45,7 +57,7 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         self.lower = settings["normalizer"] is not None
-        self.pattern = regex.compile(WORD_PATTERN if self.lower else BYTE_PATTERN)
+        self.pattern = regex.compile(pre_token_pattern(settings["pre_tokenizer"]))
         self.special = [x["content"] for x in settings["added_tokens"]]
 
     def plain(self, text: str) -> bool:
