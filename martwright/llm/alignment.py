@@ -26,7 +26,7 @@ RUN = 1 << 21
 # Pairs of ids whose counts are looked up in a broadcast table; the rest meets by a shuffle.
 FREQUENT = 1 << 18
 # Pre-tokens of either side whose ids a process remembers.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 # The character that stands for a space in pieces, and a text that files with rules of their own change.
 SPACE, _PROBE = "\u2581", "\ufb01  \uff21 \u2460\te\u0301\r\n\u3000\u00a0 "
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
@@ -140,7 +140,9 @@ def common_places(short: Sequence[int], long: Sequence[int]) -> tuple[list[int],
     here, there, at, n = [], [], 0, len(long)
     for place, value in enumerate(short):
         if at < n and long[at] < value:
-            at = gallop(long, at, value)
+            at += 1  # the first step; most often it is enough
+            if at < n and long[at] < value:
+                at = gallop(long, at, value)
         if at == n:
             break
         if long[at] == value:
