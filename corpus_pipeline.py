@@ -13,9 +13,9 @@ from martwright.llm.packing import pack_sequences
 from martwright.llm.pii import redact
 from martwright.llm.quality import fit_quality, keep_quality
 
-# Expected tokens of each domain after mixing, as multiples of those before. Clean text may grow, so
-# that clean documents get rates above 1 and all stay.
-MULTIPLES = {"clean": 1.25, "junk": 0.25, "toxic": 0.1}
+# Expected tokens of each domain after mixing, as multiples of those before. Nothing that is surely toxic
+# stays; clean text may grow, so that clean documents get rates above 1 and nearly all stay.
+MULTIPLES = {"clean": 1.5, "junk": 0.25, "toxic": 0.0}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,17 +35,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each span of personal data replaced by its kind; n_chars follows the text."""
+    """All documents, each span of personal data replaced by its kind; n_chars follows the text.
+
+    Texts without spans stay as they are, null and empty ones too; repeated rows and null ids each keep
+    their row, and spans are looked for in whole texts of any length. No documents give none.
+    """
     return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that stay when the domains are brought to MULTIPLES of their tokens."""
+    """Documents that stay when the domains are brought to MULTIPLES of their tokens.
+
+    A document stays or goes by the hash of its id and text, so repeated rows share their fate. Null and
+    empty texts have no words and are judged like others. Without labels of two domains all stay.
+    """
     return take_share(docs, table(spark, sf_dir, "labels"), MULTIPLES)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of at most 4096 tokens."""
+    """The pieces of all documents and their places in sequences of at most 4096 tokens.
+
+    A null or empty text is one piece of the end token; repeated rows and null ids have pieces of their
+    own; only a text longer than a sequence is cut. No documents give no pieces.
+    """
     return pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
