@@ -19,6 +19,8 @@ from martwright.llm.tokens import Remembered, vocabulary
 
 # Pieces packed in one task; each group of so many fills all but a few of its sequences.
 GROUP_PIECES = 20_000
+# Words whose ids a process remembers; worker processes go on to other work with them.
+WORDS = 1 << 18
 
 
 # ---- pieces of documents --------------------------------------------------------------------
@@ -29,7 +31,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = vocabulary(path)
-        self.words = Remembered(self.word)
+        self.words = Remembered(self.word, WORDS)
 
     def word(self, word: str) -> bytes:
         v = self.vocabulary
