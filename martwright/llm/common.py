@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,43 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, name: str, key: str) -> Iterator[DataFrame]:
+    """The frame stored in buckets of a key, one per shuffle partition: joins on the key leave it in place.
+
+    A frame that is dealt by `partitions` and the key already makes one file a bucket. Spark knows the buckets by the catalog, from which the table is taken at the end; its files stay, like
+    those of `stored`.
+    """
+    spark = df.sparkSession
+    n, table_name = partitions(spark), f"llm_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{table_name}"
+    try:
+        df.write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(table_name)
+        yield spark.table(table_name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+
+
+# How to free what the operators of this worker process remember, by module.
+_remembered: dict[str, Callable[[], None]] = {}
+
+
+def remembers(module: str, forget: Callable[[], None]) -> None:
+    """Tell how to free what a module keeps in its process from task to task."""
+    _remembered[module] = forget
+
+
+def only_mine(module: str) -> None:
+    """Free what other modules keep in this process.
+
+    Spark hands a worker process from stage to stage; without this it would hold the words of all the
+    operators that ran in it.
+    """
+    for owner, forget in _remembered.items():
+        if owner != module:
+            forget()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

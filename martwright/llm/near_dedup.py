@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.llm.common import byte_hash, chunks, mix, row_of, stored, utf8, words_of
+from martwright.llm.common import bucketed, byte_hash, chunks, mix, only_mine, partitions, row_of, stored, utf8, words_of
 from martwright.llm.components import components
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -111,6 +111,7 @@ def shingle_sets(docs: DataFrame, plan: Plan, id_column: str, text_column: str)
     """id, n_shingles, digest (d1, d2), signature, its short form and bucket counts of every text."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_mine(__name__)
         for batch in batches:
             data, rows = utf8(batch.column(1))
             size, d1, d2, sig, counts = [], [], [], [], []
@@ -329,7 +330,13 @@ def packed_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs whose whole shingle sets reach the similarity."""
+    """The pairs whose whole shingle sets reach the similarity.
+
+    `texts` is bucketed by rep. Only the texts that a pair needs are taken out of it and shuffled, by
+    plain joins, which Spark splits where many pairs share a member.
+    """
+    members = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    texts = stored(texts.join(members.hint("shuffle_hash"), "rep", "left_semi"), "wanted")
     mine = texts.select(F.col("rep").alias("a"), F.col("z").alias("za"))
     yours = texts.select(F.col("rep").alias("b"), F.col("z").alias("zb"))
     joined = pairs.join(yours, "b").join(mine, "a").select("a", "b", "za", "zb")
@@ -353,39 +360,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
 # ---- the whole ------------------------------------------------------------------------------
 
 
-def near_duplicates(
-    docs: DataFrame, plan: Plan | None = None, id_column: str = "doc_id", text_column: str = "text"
+def _labels(
+    full: DataFrame, reps: DataFrame, posts: DataFrame, sets_of: DataFrame, texts: DataFrame, plan: Plan
 ) -> DataFrame:
-    """One row per document: its id, n_shingles, component_id and kept.
-
-    Words are lower-cased (A-Z) runs without separators; a document's set holds its distinct shingles
-    of `plan.words` words, or all its words as one where there are fewer. Documents are linked where
-    100 * intersection >= percent * union, and component_id is the smallest id reachable by links.
-
-    Equal sets become one class first. The classes' MinHash coordinate values are posted to an
-    inverted index, rarest first and only as many as a match needs (prefix); lists are skipped once
-    all their members are known to be connected. Members first meet the hubs of their lists; each
-    confirmed link merges labels. In the end every two members of a list with different labels
-    are compared, so no link between unconnected classes is lost, and hot lists of connected copies
-    never expand into pairs. All links are confirmed on the whole shingle sets.
-
-    Documents without words (or null) have an empty set and are linked with nothing. Rows that share
-    an id count as one document. A null id is linked with nothing: component null, kept. An empty table
-    gives no rows; only the two named columns are read.
-    """
-    plan = plan or Plan()
-    sets = stored(shingle_sets(docs, plan, id_column, text_column), "sets")
-    full = sets.where("n > 0 and id is not null")
-    classes = stored(full.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "classes")
+    """Components (v, label) of the classes that have links, found round by round."""
     keys = ["n", "d1", "d2"]
-    reps = full.join(classes, keys).where("id = rep").dropDuplicates(["rep", *keys])
-    reps = reps.select("rep", "n", "sig", "counts", "short")
-    posts = stored(postings(reps, plan), "postings")
-    posted = posts.select("rep").distinct()
-    sets_of = stored(reps.join(posted, "rep", "left_semi"), "signatures")
-    texts = packed_texts(docs.where(F.col(id_column).isNotNull()), id_column, text_column)
-    texts = stored(texts.join(posted, "rep", "left_semi").dropDuplicates(["rep"]), "texts")
-
+    classes = reps.select("rep", *keys)
     rep = classes.schema["rep"].dataType
     pair = T.StructType([T.StructField("a", rep), T.StructField("b", rep)])
     # Rows of one id with different texts are one document.
@@ -393,7 +373,7 @@ def near_duplicates(
     owned = full.join(classes, keys).select("id", F.col("rep").alias("b"))
     owned = owned.join(owners.where("a <> b").select("id", "a"), "id").where("a <> b").select("a", "b")
     links = stored(owned.distinct(), "links")
-    tested = docs.sparkSession.createDataFrame([], pair)
+    tested = posts.sparkSession.createDataFrame([], pair)
 
     def labelled(links: DataFrame) -> DataFrame:
         labels = components(links)
@@ -418,7 +398,47 @@ def near_duplicates(
     short = cross_pairs(met.where(F.col("freq") <= SHORT_LIST), sets_of, plan, False)
     pairs = long.union(alike(short, sets_of, plan)).distinct().join(tested, ["a", "b"], "left_anti")
     new = stored(confirmed(stored(pairs, "pairs"), texts, plan), "links")
-    labels = components(links.union(new))
+    return components(links.union(new))
+
+
+def near_duplicates(
+    docs: DataFrame, plan: Plan | None = None, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One row per document: its id, n_shingles, component_id and kept.
+
+    Words are lower-cased (A-Z) runs without separators; a document's set holds its distinct shingles
+    of `plan.words` words, or all its words as one where there are fewer. Documents are linked where
+    100 * intersection >= percent * union, and component_id is the smallest id reachable by links.
+
+    Equal sets become one class first. The classes' MinHash coordinate values are posted to an
+    inverted index, rarest first and only as many as a match needs (prefix); lists are skipped once
+    all their members are known to be connected. Members first meet the hubs of their lists; each
+    confirmed link merges labels. In the end every two members of a list with different labels
+    are compared, so no link between unconnected classes is lost, and hot lists of connected copies
+    never expand into pairs. All links are confirmed on the whole shingle sets.
+
+    Documents without words (or null) have an empty set and are linked with nothing. Rows that share
+    an id count as one document. A null id is linked with nothing: component null, kept. An empty table
+    gives no rows; only the two named columns are read.
+    """
+    plan = plan or Plan()
+    sets = stored(shingle_sets(docs, plan, id_column, text_column), "sets")
+    full = sets.where("n > 0 and id is not null")
+    keys = ["n", "d1", "d2"]
+    # Rows of a class have equal sets and so equal sketches.
+    sketch = F.first(F.struct("sig", "counts", "short")).alias("sketch")
+    reps = full.groupBy(*keys).agg(F.min("id").alias("rep"), sketch)
+    reps = stored(reps.select("rep", *keys, "sketch.*"), "classes")
+    classes = reps.select("rep", *keys)
+    posts = stored(postings(reps, plan), "postings")
+    posted = posts.select("rep").distinct()
+    sets_of = reps.join(posted, "rep", "left_semi").select("rep", "n", "sig", "counts", "short")
+    sets_of = stored(sets_of, "signatures")
+    packed = packed_texts(docs.where(F.col(id_column).isNotNull()), id_column, text_column)
+    packed = packed.repartition(partitions(docs.sparkSession), "rep")
+    packed = packed.join(posted, "rep", "left_semi").dropDuplicates(["rep"])
+    with bucketed(packed, "texts", "rep") as texts:
+        labels = _labels(full, reps, posts, sets_of, texts, plan)
 
     final = classes.join(labels.withColumnRenamed("v", "rep"), "rep", "left")
     final = final.select(*keys, F.coalesce("label", "rep").alias("component_id"))
