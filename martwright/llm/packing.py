@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.llm.common import stored
+from martwright.llm.common import only_mine, remembers, stored
 from martwright.llm.tokens import Remembered, vocabulary
 
 # Pieces packed in one task; each group of so many fills all but a few of its sequences.
@@ -50,6 +50,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _forget() -> None:
+    encoder.cache_clear()
+    vocabulary.cache_clear()
+
+
+remembers(__name__, _forget)
+
+
 def pieces(
     docs: DataFrame,
     path: str,
@@ -61,6 +69,7 @@ def pieces(
     """Token ids of every text with `end_id` behind, cut only where longer than `capacity`."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_mine(__name__)
         code, end = encoder(path), np.array([end_id], np.dtype("<u4")).tobytes()
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
