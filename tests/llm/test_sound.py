@@ -11,7 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from samples import awkward, empty, no_labels, shared, shared_labels  # noqa: F401
 
-from martwright.llm import suffix_dedup, tokens
+from martwright.llm import common, suffix_dedup, tokens
 from martwright.llm.common import byte_hash, free_names, utf8
 from martwright.llm.licenses import _shingles
 from martwright.llm.mixing import take_share
@@ -132,3 +132,22 @@ def test_patterns_come_from_the_file(tmp_path):
     for other in ({"type": "Whitespace"}, {"type": "ByteLevel", "use_regex": False, "add_prefix_space": False}):
         with pytest.raises(ValueError):
             tokens.pre_token_pattern(other)
+
+
+def test_near_duplicates_leave_no_table_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    df = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "d e f")], "doc_id long, text string")
+    assert near_duplicates(df, Plan(words=2)).where("kept").count() == 2
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_a_worker_frees_what_other_modules_remember():
+    freed = []
+    common.remembers("one", lambda: freed.append("one"))
+    common.remembers("two", lambda: freed.append("two"))
+    try:
+        common.only_mine("one")
+        assert freed == ["two"]
+    finally:
+        for module in ("one", "two"):
+            common._remembered.pop(module)
