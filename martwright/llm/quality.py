@@ -7,19 +7,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.llm.common import byte_hash, chunks, mix, only_mine, row_of, utf8, words_of
+from martwright.llm.common import byte_hash, chunks, mix, only_mine, row_of, stored, utf8, words_of
 
 # n-grams are windows of four bytes, hashed into this many buckets.
 GRAM = 4
 BUCKETS = 1 << 16
 # Weights are whole multiples of this, so that a document's sum does not depend on the order of adding.
 UNIT = 2.0**-20
-# Labelled documents used to fit the target counts and the threshold, chosen by the hash of their id.
-LABELLED = 20_000
 # Good ids small enough in number for every executor to hold.
 GOOD_IDS = 1 << 20
 MIN_WORDS = 50
@@ -145,10 +143,47 @@ def best_threshold(scores: np.ndarray, good: np.ndarray) -> float:
     return float(values[k] if k == 0 else (values[k - 1] + values[k]) / 2)
 
 
+def fit_threshold(scored: DataFrame) -> float:
+    """`best_threshold` over the rows (score, good) of a frame of any size.
+
+    Scores are dealt out by ranges; a range looks at its own with the totals of the ranges before it. One
+    row a range and one for the best cut come back.
+    """
+    by_score = scored.groupBy("score").agg(
+        F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad")
+    )
+    dealt = by_score.repartitionByRange("score").withColumn("part", F.spark_partition_id())
+    dealt = stored(dealt, "scores")
+    totals = dealt.groupBy("part").agg(
+        F.sum("n_good").alias("good"), F.sum("n_bad").alias("bad"), F.max("score").alias("highest")
+    )
+    totals = sorted(totals.collect(), key=lambda r: r["part"])
+    all_good, all_bad = sum(r["good"] for r in totals), sum(r["bad"] for r in totals)
+    if not all_good or not all_bad:
+        return -np.inf
+    before, good, bad, highest = [], 0, 0, None
+    for r in totals:
+        before.append((r["part"], good, bad, highest))
+        good, bad, highest = good + r["good"], bad + r["bad"], r["highest"]
+    known = scored.sparkSession.createDataFrame(before, "part int, good long, bad long, highest double")
+    lower = Window.partitionBy("part").orderBy("score")
+    below = lower.rowsBetween(Window.unboundedPreceding, -1)
+
+    def share(name: str, total: int) -> Column:
+        return (F.col(name) + F.coalesce(F.sum(f"n_{name}").over(below), F.lit(0))) / F.lit(total)
+
+    cuts = dealt.join(F.broadcast(known), "part").select(
+        "score",
+        F.coalesce(F.lag("score").over(lower), "highest").alias("previous"),
+        ((1 - share("good", all_good)) + share("bad", all_bad)).alias("apart"),
+    )
+    best = cuts.orderBy(F.desc("apart"), "score").first()
+    return best["score"] if best["previous"] is None else (best["previous"] + best["score"]) / 2
+
+
 def fit_quality(
     docs: DataFrame,
     labels: DataFrame,
-    labelled: int = LABELLED,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> QualityModel:
@@ -156,16 +191,14 @@ def fit_quality(
 
     The corpus multinomial counts the n-grams of all documents. The trusted one counts those of
     all documents labelled quality 1; an id labelled both ways counts as 0. Both get one pseudo-count per
-    bucket. The threshold is fitted on at most `labelled` labelled ids, a bounded sample by hash of the
-    id. Null ids and labels are no labels. Counts come back as BUCKETS rows, whatever the size of the corpus.
+    bucket. The threshold is fitted on all labelled ids. Null ids and labels are no labels. Counts come
+    back as BUCKETS rows, whatever the size of the corpus.
     Up to GOOD_IDS good ids, by count, are broadcast to the documents; more meet them by a shuffle.
     """
     judged = labels.select(F.col("doc_id").alias("id"), "quality").dropna().groupBy("id")
     judged = judged.agg(F.min("quality").alias("quality"))
     good_ids = judged.where("quality = 1").select("id", F.lit(True).alias("good"))
     good_ids = F.broadcast(good_ids) if good_ids.count() <= GOOD_IDS else good_ids
-    known = judged.orderBy(F.xxhash64("id"), "id").limit(labelled).collect()
-    quality = docs.sparkSession.sparkContext.broadcast({r["id"]: r["quality"] for r in known})
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     flagged = read.join(good_ids, "id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
 
@@ -206,15 +239,13 @@ def fit_quality(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array([x in quality.value for x in batch.column(0).to_pylist()], pa.bool_()))
             yield pa.record_batch([batch.column(0), pa.array(model.scores(batch.column(1)))], names=["id", "score"])
 
     schema = T.StructType([T.StructField("id", docs.schema[id_column].dataType)]).add("score", "double")
-    # One score an id, however often it is repeated: at most `labelled` rows come back.
-    scored = read.mapInArrow(score, schema).groupBy("id").agg(F.min("score").alias("score")).collect()
-    values = np.array([r["score"] for r in scored])
-    good = np.array([quality.value[r["id"]] == 1 for r in scored], bool)
-    return QualityModel(weights, best_threshold(values, good) if len(scored) else -np.inf)
+    # Texts are scored where they are; ids and scores meet the labels. One score an id, however often it is repeated.
+    scored = read.mapInArrow(score, schema).groupBy("id").agg(F.min("score").alias("score"))
+    scored = scored.join(judged, "id").select("score", (F.col("quality") == 1).alias("good"))
+    return QualityModel(weights, fit_threshold(scored))
 
 
 def judge_quality(
