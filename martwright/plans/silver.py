@@ -148,14 +148,14 @@ def int_customer_orders(
     Customers meet the orders first: that join moves orders, not lines. A catalogue measured to be
     small is broadcast to the lines where they are, last, so its texts are never shuffled; a large
     one is joined first, because its columns are narrower than those of order and customer. The
-    key of a line follows from its id, so it is hashed after the joins and not carried through them.
+    keys of lines, orders and products follow from their ids, as in staging, so they are hashed after the
+    joins and not carried through them.
     The catalogue is measured unless `small_catalogue` says what an earlier measurement found; either
     way the rows and the order of the columns are the same.
     """
     heads = skew_join(
         orders.select(
             "order_id",
-            "order_key",
             "customer_id",
             "order_date",
             "order_date_day",
@@ -193,7 +193,6 @@ def int_customer_orders(
     )
     catalogue = products.select(
         "product_id",
-        "product_key",
         "product_name",
         "category",
         "subcategory",
@@ -209,7 +208,7 @@ def int_customer_orders(
     profit = F.col("line_total") - F.col("unit_cost") * F.col("quantity")
     return joined.withColumns(
         {
-            "order_item_key": surrogate_key(F.col("order_item_id")),
+            **{f"{name}_key": surrogate_key(F.col(f"{name}_id")) for name in ("order", "order_item", "product")},
             "line_profit": profit,
             "line_profit_margin_pct": percent(profit, F.col("line_total")),
             "transaction_date": F.col("order_date"),

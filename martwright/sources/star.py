@@ -46,6 +46,11 @@ def unknown_when(condition: Column, key: Column) -> Column:
     return F.when(condition, -1 - key).otherwise(key)
 
 
+def line_product(part: Column) -> Column:
+    """The product id that lines of a part carry; some are of products that nobody knows."""
+    return unknown_when(part % 50 == 7, part)
+
+
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     key, start = F.col("c_custkey"), F.lit("1995-01-01").cast("date")
     return (
@@ -122,20 +127,28 @@ def raw_products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, folder: str, hot_parts: HotKeys = NO_HOT_KEYS) -> DataFrame:
-    """One row per line, priced from the part; the seventh line of an order has a wrong total."""
+    """One row per line, priced from the part; the seventh line of an order has a wrong total.
+
+    Prices are joined by the id that the product gets, which tells parts apart as well as their own: a later
+    join with the products finds the lines dealt out already.
+    """
     part, quantity = F.col("l_partkey"), F.col("l_quantity").cast("int")
     price = money(F.col("p_retailprice"))
     extra = F.when(F.col("l_linenumber") == 7, 1).otherwise(0)
     identity = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    lines = table(spark, folder, "lineitem")
-    prices = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    priced = skew_join(lines, prices, "l_partkey", "left", hot_parts, spread="l_orderkey")
+    lines = table(spark, folder, "lineitem").withColumn("product_id", line_product(part))
+    prices = table(spark, folder, "part")
+    prices = prices.select(line_product(F.col("p_partkey")).alias("product_id"), "p_retailprice")
+    # Heavy parts by either of their ids; one that does not occur costs nothing.
+    salts = {id_: n for key, n in hot_parts.salts.items() for id_ in (key, -1 - key)}
+    hot = HotKeys(salts, hot_parts.null_salts)
+    priced = skew_join(lines, prices, "product_id", "left", hot, spread="l_orderkey")
     return priced.select(
         F.concat_ws("-", *[F.col(c).cast("string") for c in identity], quantity.cast("string")).alias(
             "order_item_id"
         ),
         F.col("l_orderkey").alias("order_id"),
-        unknown_when(part % 50 == 7, part).alias("product_id"),
+        "product_id",
         quantity.alias("quantity"),
         price.alias("unit_price"),
         money(quantity * price + extra).alias("line_total"),
