@@ -1,7 +1,10 @@
 """How often the plans of the largest models deal out the lines, and what they carry."""
 
+import datetime as dt
 import re
+from decimal import Decimal
 
+from conftest import rows
 from pyspark.sql import functions as F
 
 from martwright.plans import silver, staging
@@ -32,3 +35,28 @@ def test_lines_are_dealt_out_by_product_once(spark):
     keys = found.join(products.select("product_id", F.col("product_key").alias("pk")), "product_id")
     keys = keys.join(orders.select("order_id", F.col("order_key").alias("ok")), "order_id")
     assert keys.count() == found.count() == keys.where("pk = product_key and ok = order_key").count() > 0
+
+
+def test_lines_are_summed_up_per_order_after_one_shuffle(spark):
+    early, late = dt.datetime(2001, 1, 1), dt.datetime(2001, 1, 2)
+    data = [
+        ("a", 1, 10, 2, Decimal("4.00"), late),
+        ("a", 1, 10, 2, Decimal("4.00"), early),
+        ("b", 1, 11, None, None, None),
+        (None, 1, None, 1, Decimal("1.00"), None),
+        ("a", 2, None, None, None, None),
+        (None, 3, 10, 1, Decimal("1.00"), late),
+        ("c", None, 10, 1, Decimal("1.00"), late),
+    ]
+    schema = "order_item_id string, order_id int, product_id int, quantity int, "
+    schema += "line_total decimal(12,2), created_at timestamp_ntz"
+    lines = spark.createDataFrame(data, schema)
+    found = silver.order_line_totals(lines)
+    assert plan_of(found).count("Exchange") == 1
+    assert rows(found) == [
+        (1, 2, 2, 5, Decimal("9.00"), early, late),
+        (2, 1, 0, None, None, None, None),
+        (3, 0, 1, 1, Decimal("1.00"), late, late),
+    ]
+    unique = silver.order_line_totals(lines.where("order_id = 2"), unique_items=True)
+    assert rows(unique) == [(2, 1, 0, None, None, None, None)]
