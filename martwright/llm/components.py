@@ -11,25 +11,24 @@ from martwright.llm.common import stored
 def components(links: DataFrame) -> DataFrame:
     """Columns v and label for every vertex of the links (a, b): label is the smallest vertex reachable.
 
-    Each round gives a vertex the smallest label among its neighbours and itself, and then the label
-    of that label, so that chains halve. Labels are stored after each round; minima combine before
-    the shuffle, so a vertex with very many links costs one row per task.
+    In a round each vertex hears the labels of its neighbours, of its label and of itself and takes the
+    smallest, so that chains halve. All come by one join and one grouping: Spark's driver keeps a thread
+    for each exchange and broadcast of the last minute, and a broadcast's rows. Labels are stored after
+    each round; minima combine before the shuffle, so a vertex with very many links costs one row per task.
     """
     links = links.where("a <> b").select("a", "b")
     edges = stored(links.union(links.select("b", "a")).distinct(), "edges")
     labels = edges.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("near"))
     labels = stored(labels.select("v", F.least("v", "near").alias("label")), "labels")
     while True:
-        near = (
-            edges.join(labels.withColumnRenamed("v", "b"), "b")
+        own = labels.select(F.col("v").alias("a"), F.explode(F.array("v", "label")).alias("b"))
+        heard = (
+            edges.union(own)
+            .join(labels.toDF("b", "label"), "b")
             .groupBy(F.col("a").alias("v"))
-            .agg(F.min("label").alias("near"))
-        )
-        lower = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("v").alias("next"), F.col("label").alias("far"))
-        new = lower.join(jump, "next", "left").select(
-            "v", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("moved")
+            .agg(F.min("label").alias("label"), F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"))
         )
+        new = heard.select("v", "label", (F.col("label") < F.col("old")).alias("moved"))
         new = stored(new, "labels")
         labels = new.select("v", "label")
         if new.where("moved").isEmpty():

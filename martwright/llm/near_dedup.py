@@ -204,20 +204,24 @@ def alike(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     return joined.mapInArrow(match, pairs.select("a", "b").schema)
 
 
-def hub_pairs(posts: DataFrame, seed: int) -> DataFrame:
-    """Each member of a long posting list with the list's hub, where their labels differ.
+def hub_pairs(posts: DataFrame, seeds: range) -> DataFrame:
+    """Each member of a long posting list with the list's hubs, where their labels differ.
 
-    The hub is the first member in one order of all documents, another one for each seed. So the
-    many lists that like documents share mostly have the same hub, and a member meets few of them.
+    A hub is the first member in one order of all documents, another one for each seed. So the
+    many lists that like documents share mostly have the same hubs, and a member meets few of them.
+    All seeds share one grouping and one join.
     """
-    order: Column = F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep", "label")
     posts = posts.where(F.col("freq") > SHORT_LIST)
+
+    def first(seed: int) -> Column:
+        return F.min(F.struct(F.xxhash64("rep", F.lit(seed)).alias("h"), "rep", "label"))
+
     hubs = posts.groupBy("token").agg(
-        F.min(order).alias("hub"), F.min("label").alias("low"), F.max("label").alias("high")
+        F.array(*map(first, seeds)).alias("hubs"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    hubs = hubs.where("low <> high").select("token", "hub.rep", "hub.label").toDF("token", "hub", "hub_label")
-    met = posts.join(hubs, "token").where("label <> hub_label")
-    return met.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    hubs = hubs.where("low <> high").select("token", "hubs")
+    met = posts.join(hubs, "token").select("rep", "label", F.explode("hubs").alias("hub")).where("label <> hub.label")
+    return met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
 
 
 def cross_pairs(posts: DataFrame, sets: DataFrame, plan: Plan, whole: bool) -> DataFrame:
@@ -381,13 +385,11 @@ def _labels(
             "label", F.coalesce("label", "rep")
         )
 
-    met = stored(labelled(links), "met")
+    # Mostly no id has two texts, and each class starts as its own component.
+    met = posts.withColumn("label", F.col("rep")) if links.isEmpty() else stored(labelled(links), "met")
     seed = 0
     for hubs in HUB_ROUNDS:
-        pairs = hub_pairs(met, seed)
-        for k in range(1, hubs):
-            pairs = pairs.union(hub_pairs(met, seed + k))
-        pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = hub_pairs(met, range(seed, seed + hubs)).join(tested, ["a", "b"], "left_anti")
         pairs = stored(alike(pairs, sets_of, plan), "pairs")
         new = stored(confirmed(pairs, texts, plan), "links")
         tested, links, seed = tested.union(pairs), links.union(new), seed + hubs

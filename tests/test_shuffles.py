@@ -4,6 +4,7 @@ import datetime as dt
 import re
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -60,3 +61,39 @@ def test_lines_are_summed_up_per_order_after_one_shuffle(spark):
     ]
     unique = silver.order_line_totals(lines.where("order_id = 2"), unique_items=True)
     assert rows(unique) == [(2, 1, 0, None, None, None, None)]
+
+
+def test_a_round_of_components_takes_one_join(spark, monkeypatch):
+    module = pytest.importorskip("martwright.llm.components")
+    plans, keep = [], module.stored
+
+    def noted(df, name):
+        plans.append(plan_of(df))
+        return keep(df, name)
+
+    monkeypatch.setattr(module, "stored", noted)
+    # A star around its largest vertex, a chain, a cycle; repeated, turned, null and own links.
+    star = [(i, 99) for i in range(10, 40)]
+    chain = [(100 + i, 101 + i) for i in range(20)]
+    more = [(1, 2), (2, 1), (1, 2), (2, 3), (3, 1), (5, 5), (None, 7), (8, None)]
+    links = spark.createDataFrame(star + chain + more, "a long, b long")
+    label = {99: 10} | {a: 10 for a, _ in star} | {100 + i: 100 for i in range(21)} | {1: 1, 2: 1, 3: 1}
+    assert rows(module.components(links), "v", "label") == sorted(label.items(), key=lambda r: tuple(map(str, r)))
+    assert len(plans) > 3
+    for plan in plans[2:]:
+        assert len(re.findall(r"(?:SortMerge|Hash|NestedLoop)Join", plan)) == 1
+
+
+def test_hubs_of_all_seeds_take_one_grouping_and_one_join(spark):
+    near = pytest.importorskip("martwright.llm.near_dedup")
+    data = [(t, rep, 20, label) for t in (1, 2) for rep, label in [(3, 3), (4, 3), (5, 5), (6, 6)]]
+    data += [(3, 1, 2, 1), (3, 2, 2, 2), (4, 7, 20, 7), (4, 8, 20, 7)]  # a short list; one with one label
+    posts = spark.createDataFrame(data, "token long, rep long, freq long, label long")
+    found = near.hub_pairs(posts, range(4))
+    plan = plan_of(found)
+    assert plan.count("Join") == 1 and plan.count("Exchange") <= 4
+    single = [set(rows(near.hub_pairs(posts, range(k, k + 1)))) for k in range(4)]
+    assert rows(found) == sorted(set.union(*single))
+    # Each member meets the hub of every order unless they have one label.
+    for pairs in single:
+        assert any(pairs == {(min(r, hub), max(r, hub)) for r in (3, 4, 5, 6) if r != hub and {r, hub} != {3, 4}} for hub in (3, 4, 5, 6))
