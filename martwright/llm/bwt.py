@@ -46,15 +46,34 @@ def shard(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Shard:
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = key << np.uint64(8) | np.where(left > j, padded[j : j + n], np.uint64(0))
-    rank = np.unique(key, return_inverse=True)[1]
+    # A suffix ranks by the first row of its group, those that are equal as far as they were compared. Only
+    # groups of two or more are sorted again, by what follows.
+    order = np.argsort(key)
+    rows = np.arange(n)
+    opens = np.ones(n, bool)
+    opens[1:] = key[order][1:] != key[order][:-1]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(opens, rows, 0)) if n else 0
+    rows = rows[~(opens & np.append(opens[1:], True))]
     depth, longest = 8, int(left.max()) if n else 0
-    while depth < longest:
-        rest = np.zeros(n, np.int64)
-        more = np.flatnonzero(left > depth)
-        rest[more] = rank[more + depth] + 1
-        rank = np.unique(rank.astype(np.int64) * (n + 2) + rest, return_inverse=True)[1]
+    while depth < longest and len(rows):
+        at = order[rows]
+        rest = np.zeros(len(at), np.int64)
+        more = np.flatnonzero(left[at] > depth)
+        rest[more] = rank[at[more] + depth] + 1
+        both = rank[at] * (n + 2) + rest
+        by = np.argsort(both)
+        at, both = at[by], both[by]
+        opens = np.ones(len(at), bool)
+        opens[1:] = both[1:] != both[:-1]
+        order[rows] = at
+        rank[at] = rows[np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))]
+        rows = rows[~(opens & np.append(opens[1:], True))]
         depth *= 2
-    return Shard(symbols, left, string, np.argsort(rank, kind="stable"))
+    # Equal suffixes stand in the order of their strings.
+    at = order[rows]
+    order[rows] = at[np.lexsort((at, rank[at]))]
+    return Shard(symbols, left, string, order)
 
 
 @dataclass(frozen=True)

@@ -5,7 +5,9 @@ equal ones. Equal windows have equal anchors, so windows can be compared anchor
 independent tasks. A segment is a run of windows that share an anchor. Anchors that occur once are
 done. Of segments with equal bytes the first stays for comparison and the others are removed whole. What
 remains, different segments around a common anchor, is sorted in shards whose transforms are merged up
-to `length` symbols; each repeated interval keeps its first window.
+to `length` symbols; each repeated interval keeps its first window. A window reaches half of its other bytes
+to one side of its anchor at least, so segments that share them on neither side have no window in common
+and are not compared.
 
 Anchors that a sample shows to be hot are never gathered: their windows are dealt by their own hash, after
 each pack of texts has kept its first window of every hash.
@@ -30,8 +32,9 @@ from martwright.llm.common import chunks, mix, partitions, prefix_hash, range_ha
 GRAM = 32
 # Place bits next to a hash while the smallest is sought; a string has fewer bytes than this.
 PLACE_BITS = np.uint64(31)
-# Bytes of segments merged at once, and shards they are sorted in.
-COLLECTION, SHARDS = 1 << 21, 4
+# Bytes of segments merged at once, so few that a processor's cache holds their arrays, and shards they are
+# sorted in.
+COLLECTION, SHARDS = 1 << 17, 4
 # An anchor with more bytes of different segments is compared by 128-bit hashes of its windows instead.
 MOST = 1 << 24
 # Documents of one row of entries, and bytes of their texts; a longer text is a row of its own.
@@ -48,13 +51,19 @@ WINDOWS = 1 << 20
 
 @dataclass
 class Segments:
-    """Runs of windows with one anchor: its hash, the segment's, the row, first and last window."""
+    """Runs of windows with one anchor: its hash, the segment's, the row, first and last window.
+
+    left and right are short hashes of the anchor with the bytes that a window must reach to one side of it
+    at least, 0 where the segment ends before.
+    """
 
     anchor: np.ndarray
     content: np.ndarray
     row: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
 
 
 def segments(data: np.ndarray, rows: np.ndarray, length: int) -> Segments:
@@ -62,7 +71,8 @@ def segments(data: np.ndarray, rows: np.ndarray, length: int) -> Segments:
     n, width = len(data) - length + 1, length - GRAM + 1
     if n < 1:
         empty = np.zeros(0, np.int64)
-        return Segments(empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty)
+        short = empty.astype(np.uint16)
+        return Segments(empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty, short, short)
     sums = prefix_hash(data)
     at = np.arange(len(data) - GRAM + 1)
     gram = range_hash(sums, at, at + GRAM)
@@ -83,7 +93,13 @@ def segments(data: np.ndarray, rows: np.ndarray, length: int) -> Segments:
     first, last = first[keep], last[keep]
     own = row[first].astype(np.int64)
     content = range_hash(sums, first, last + length)
-    return Segments(gram[anchor[first]], content, own, first - rows[own], last - rows[own])
+    at, near = anchor[first], -(-(length - GRAM) // 2)
+    begin, end = at - near, at + GRAM + near
+    left = range_hash(sums, np.maximum(begin, 0), at + GRAM) >> np.uint64(48)
+    right = range_hash(sums, at, np.minimum(end, len(data))) >> np.uint64(48)
+    left = np.where(begin >= first, np.maximum(left, 1), 0).astype(np.uint16)
+    right = np.where(end <= last + length, np.maximum(right, 1), 0).astype(np.uint16)
+    return Segments(gram[at], content, own, first - rows[own], last - rows[own], left, right)
 
 
 # ---- packed rows: one per task and bucket, a column for each array ---------------------------
@@ -108,7 +124,7 @@ def _columns(*names: str) -> T.StructType:
     return schema
 
 
-ENTRY = {"key": "<i8", "content": "<u8", "doc": "<u2", "first": "<u4", "count": "<u1"}
+ENTRY = {"key": "<i8", "content": "<u8", "doc": "<u2", "first": "<u4", "count": "<u1", "left": "<u2", "right": "<u2"}
 # Windows of hot anchors: two hashes, the document and the place.
 WINDOW = {"one": "<u8", "two": "<u8", "w_id": "<i8", "w_row": "<i8", "place": "<i8"}
 CUT = ("cut_row", "cut_start", "cut_end")
@@ -276,6 +292,8 @@ def _entries(
                         "doc": doc.astype("<u2"),
                         "first": s.first[new].astype("<u4"),
                         "count": (s.last - s.first)[new].astype("<u1"),
+                        "left": s.left[new],
+                        "right": s.right[new],
                         "ids": ids[known],
                         "rows": rows[known],
                     }
@@ -310,6 +328,16 @@ def _marks(
     return out
 
 
+def _met(key: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Whether another row has the same key and the same side; a side of 0 meets none."""
+    by = np.lexsort((side, key))
+    equal = (key[by][1:] == key[by][:-1]) & (side[by][1:] == side[by][:-1]) & (side[by][1:] > 0)
+    out = np.zeros(len(by), bool)
+    out[by[1:][equal]] = True
+    out[by[:-1][equal]] = True
+    return out
+
+
 def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Entries of a bucket: copies of a segment are removed, different ones of one anchor wanted.
 
@@ -354,10 +382,12 @@ def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     copy[1:] &= e["content"][1:] == e["content"][:-1]
     start = e["first"].astype(np.int64)
     end = start + e["count"] + length
-    # Anchors whose first segments differ.
+    # Anchors whose first segments differ, and of these the segments that may have a window in common.
     head = np.flatnonzero(~copy)
     keys, number = np.unique(e["key"][head], return_counts=True)
     many = head[number[np.searchsorted(keys, e["key"][head])] > 1]
+    near = {k: e[k][many] for k in ("key", "left", "right")}
+    many = many[_met(near["key"], near["left"]) | _met(near["key"], near["right"])]
     out = _marks(e["row"][copy], start[copy], end[copy]) + _marks(e["row"][many], start[many], end[many], e["key"][many])
     for at in range(0, len(out), 10_000):
         yield _batch(out[at : at + 10_000], MARKS)
@@ -468,13 +498,16 @@ def _repeats(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     edges = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
     weight = np.add.reduceat(c["size"][by], edges[:-1])
     groups: list[tuple[int, int, bool]] = []
+    held_bytes = 0
     for a, b, w in zip(edges[:-1].tolist(), edges[1:].tolist(), weight.tolist(), strict=True):
+        held_bytes += w
         if w > MOST:
             groups.append((a, b, True))
-        elif groups and not groups[-1][2] and c["size"][by[groups[-1][0] : b]].sum() <= COLLECTION:
+        elif groups and not groups[-1][2] and held_bytes <= COLLECTION:
             groups[-1] = (groups[-1][0], b, False)
         else:
             groups.append((a, b, False))
+            held_bytes = w
     for a, b, hashed in groups:
         own = by[a:b]
         turn = np.lexsort((c["start"][own], c["row"][own], c["id"][own]))
