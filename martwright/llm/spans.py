@@ -60,8 +60,8 @@ def _cuts(kind: str, parts: Column, last: Column, first: Column) -> Column:
 def matches(
     docs: DataFrame,
     patterns: dict[str, str],
-    hints: dict[str, str],
-    any_of: str,
+    hints: dict[str, str | Column],
+    any_of: str | Column,
     id_column: str = "doc_id",
     text_column: str = "text",
     marked: tuple[str, ...] = (),
@@ -70,20 +70,22 @@ def matches(
 
     Places are code points, the end is exclusive. h is the hash of the text and tells texts of one id
     apart; matches of repeated rows are given once. A pattern is only tried where the text contains its
-    hint, and all only where the text matches `any_of`. Null texts are empty.
+    hint, and all only where the text matches `any_of`; either may be a condition on the column text
+    instead, which holds wherever a pattern matches and costs less. Null texts are empty.
     `marked` names kinds whose match is the second group of the pattern; the first group is what stands
     in front of it, and the pattern has nothing else.
     """
-    text = F.translate(whole_text(text_column), OPEN + CLOSE, NEITHER + NEITHER)
-    read = docs.select(
-        F.col(id_column).alias("id"), F.xxhash64(whole_text(text_column)).alias("h"), text.alias("text")
-    ).where(F.col("text").rlike(any_of))
+    some = F.col("text").rlike(any_of) if isinstance(any_of, str) else any_of
+    read = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text")).where(some)
+    read = read.select("id", F.xxhash64("text").alias("h"), F.translate("text", OPEN + CLOSE, NEITHER + NEITHER).alias("text"))
     # The row number only holds the cuts of one row together, within this one shuffle.
     parts = {"row": F.monotonically_increasing_id()}
     for kind, pattern in patterns.items():
         shown = f"$1{OPEN}$2{CLOSE}" if kind in marked else f"{OPEN}$0{CLOSE}"
         cut = F.split(F.regexp_replace("text", pattern, shown), OPEN, -1)
-        parts[kind] = F.when(F.contains("text", F.lit(hints[kind])), cut) if kind in hints else cut
+        hint = hints.get(kind)
+        hint = F.contains("text", F.lit(hint)) if isinstance(hint, str) else hint
+        parts[kind] = cut if hint is None else F.when(hint, cut)
     none = F.array().cast(_CUT)
     around = {f"{kind}_{k}": edge for kind in patterns for k, edge in enumerate(_edges(F.col(kind)))}
     lists = [F.coalesce(_cuts(kind, *map(F.col, (kind, f"{kind}_0", f"{kind}_1"))), none) for kind in patterns]
