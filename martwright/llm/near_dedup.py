@@ -25,6 +25,8 @@ BUCKETS = 512
 SHORT_LIST = 16
 # Hubs that members meet in each round, before all that are still apart are compared.
 HUB_ROUNDS = (1, 3, 4, 4)
+# Links that the driver follows by itself; more are followed by joins.
+FEW_LINKS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -156,13 +158,17 @@ def postings(sets: DataFrame, plan: Plan) -> DataFrame:
 
     Values of one set alone come first in the order by frequency; they post nothing but take their
     places of the prefix, so that unlike documents hardly post at all.
+
+    Spark sizes exploded rows like the rows they come from, and would broadcast all cells of a table that
+    is small enough; the hint keeps them in a shuffle.
     """
     cells = sets.select("rep", F.posexplode("sig").alias("pos", "value"))
     token = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF))
     cells = cells.select("rep", token.alias("token"))
     shared = cells.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1")
     held = (
-        cells.join(shared, "token")
+        cells.hint("merge")
+        .join(shared, "token")
         .groupBy("rep")
         .agg(F.array_sort(F.collect_list(F.struct("freq", "token"))).alias("held"))
     )
@@ -370,17 +376,18 @@ def _labels(
     """Components (v, label) of the classes that have links, found round by round."""
     keys = ["n", "d1", "d2"]
     classes = reps.select("rep", *keys)
-    rep = classes.schema["rep"].dataType
-    pair = T.StructType([T.StructField("a", rep), T.StructField("b", rep)])
     # Rows of one id with different texts are one document.
     owners = full.join(classes, keys).groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     owned = full.join(classes, keys).select("id", F.col("rep").alias("b"))
     owned = owned.join(owners.where("a <> b").select("id", "a"), "id").where("a <> b").select("a", "b")
     links = stored(owned.distinct(), "links")
-    tested = posts.sparkSession.createDataFrame([], pair)
+    tested: DataFrame | None = None
+
+    def untested(pairs: DataFrame) -> DataFrame:
+        return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
     def labelled(links: DataFrame) -> DataFrame:
-        labels = components(links)
+        labels = components(links, FEW_LINKS)
         return posts.join(labels.withColumnRenamed("v", "rep"), "rep", "left").withColumn(
             "label", F.coalesce("label", "rep")
         )
@@ -389,18 +396,19 @@ def _labels(
     met = posts.withColumn("label", F.col("rep")) if links.isEmpty() else stored(labelled(links), "met")
     seed = 0
     for hubs in HUB_ROUNDS:
-        pairs = hub_pairs(met, range(seed, seed + hubs)).join(tested, ["a", "b"], "left_anti")
+        pairs = untested(hub_pairs(met, range(seed, seed + hubs)))
         pairs = stored(alike(pairs, sets_of, plan), "pairs")
         new = stored(confirmed(pairs, texts, plan), "links")
-        tested, links, seed = tested.union(pairs), links.union(new), seed + hubs
+        tested = pairs if tested is None else tested.union(pairs)
+        links, seed = links.union(new), seed + hubs
         if new.isEmpty():
             break
         met = stored(labelled(links), "met")
     long = cross_pairs(met.where(F.col("freq") > SHORT_LIST), sets_of, plan, True)
     short = cross_pairs(met.where(F.col("freq") <= SHORT_LIST), sets_of, plan, False)
-    pairs = long.union(alike(short, sets_of, plan)).distinct().join(tested, ["a", "b"], "left_anti")
+    pairs = untested(long.union(alike(short, sets_of, plan)).distinct())
     new = stored(confirmed(stored(pairs, "pairs"), texts, plan), "links")
-    return components(links.union(new))
+    return components(links.union(new), FEW_LINKS)
 
 
 def near_duplicates(

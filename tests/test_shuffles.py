@@ -1,6 +1,7 @@
 """How often the plans of the largest models deal out the lines, and what they carry."""
 
 import datetime as dt
+import random
 import re
 from decimal import Decimal
 
@@ -84,6 +85,39 @@ def test_a_round_of_components_takes_one_join(spark, monkeypatch):
         assert len(re.findall(r"(?:SortMerge|Hash|NestedLoop)Join", plan)) == 1
 
 
+def test_few_links_are_followed_without_an_exchange(spark, monkeypatch):
+    """The same labels as by joins, for numbers, strings and no links; one link more takes the joins."""
+    module = pytest.importorskip("martwright.llm.components")
+    rng = random.Random(3)
+    data = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(500, 540)]
+    data += [(7, 7), (None, 3), (4, None), (700, 650), (700, 650)]
+    for kind in ("long", "int", "string"):
+        links = spark.createDataFrame(data, "a long, b long").selectExpr(f"cast(a as {kind}) a", f"cast(b as {kind}) b")
+        plans, keep = [], module.stored
+        monkeypatch.setattr(module, "stored", lambda df, name: plans.append(plan_of(df)) or keep(df, name))
+        found, want = module.components(links, 1000), module.components(links)
+        monkeypatch.setattr(module, "stored", keep)
+        assert rows(found) == rows(want) and found.schema == want.schema
+        assert "Exchange" not in plans[0] and len(plans) > 3
+    own = links.where("a <> b").count()
+    for few, expected in ((own, 1), (own - 1, 2)):
+        plans.clear()
+        monkeypatch.setattr(module, "stored", lambda df, name: plans.append(name) or keep(df, name))
+        module.components(links, few)
+        monkeypatch.setattr(module, "stored", keep)
+        assert len(plans) == 1 if expected == 1 else len(plans) > 3
+    assert module.components(links.limit(0), 10).count() == 0
+
+
+def test_exploded_cells_are_never_broadcast(spark):
+    """Spark takes 64 cells of a set for one: by its size the table would be broadcast."""
+    near = pytest.importorskip("martwright.llm.near_dedup")
+    sets = spark.range(2000).selectExpr("id rep", "transform(sequence(1, 64), i -> cast(hash(id % 700, i) as int)) sig")
+    posts = near.postings(sets, near.Plan())
+    assert "Broadcast" not in plan_of(posts)
+    assert posts.select("rep").distinct().count() == 2000
+
+
 def test_hubs_of_all_seeds_take_one_grouping_and_one_join(spark):
     near = pytest.importorskip("martwright.llm.near_dedup")
     data = [(t, rep, 20, label) for t in (1, 2) for rep, label in [(3, 3), (4, 3), (5, 5), (6, 6)]]
